@@ -47,7 +47,7 @@ def plan(spark: SparkSession, folder: str, **options) -> features.FeaturePlan:
 def rounded(df: DataFrame) -> DataFrame:
     """Numbers as doubles with six decimals, for comparison between engines."""
     return df.selectExpr(*[
-        f"round(CAST(`{f.name}` AS DOUBLE), 6) + 0.0D AS `{f.name}`"
+        f"round(CAST(`{f.name}` AS DOUBLE) + {oracles.NUDGE}D, 6) + 0.0D AS `{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.DecimalType)) else f"`{f.name}`"
         for f in df.schema.fields
     ])

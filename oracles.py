@@ -1,13 +1,17 @@
 """The registered queries as DuckDB SQL over the given tables.
 
 Each query is written as a final SELECT over named subqueries; ``build`` collects the ones it needs.
-Doubles are rounded to six decimals on both sides, with ``+ 0.0`` against negative zeros.
+Doubles are rounded to six decimals on both sides. Exact halves of the last decimal do occur (cents over
+round limits) and would hang on the last bit, so both sides add NUDGE first; ``+ 0.0`` is against
+negative zeros.
 """
 
 from __future__ import annotations
 
 import re
 
+NUDGE = "1.3e-8"
+
 MEASURES = ["delq_cycle", "credit_limit", "cash_balance", "total_balance",
             "credit_ratio", "cash_ratio", "cash_on_credit_ratio"]
 SPREAD = MEASURES[:-1]
@@ -26,13 +30,17 @@ BINS = 20
 
 
 def r(expr: str, name: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) + 0.0 AS {name or expr}"
+    return f"round(CAST({expr} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {name or expr}"
 
 
 def d(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+def days(earlier: str, later: str) -> str:
+    return f"CAST(date_diff('day', {earlier}, {later}) AS INTEGER)"
+
+
 def div(a: str, b: str) -> str:
     return f"({d(a)} / nullif({d(b)}, 0))"
 
@@ -145,12 +153,12 @@ SELECT account_id, statement_id, min(pay_day) AS full_payment_date
 FROM (SELECT *, sum(day_amount) OVER (PARTITION BY account_id, statement_id ORDER BY pay_day) AS so_far FROM after)
 WHERE so_far >= total_balance GROUP BY ALL"""
 
-CTE["delays"] = """
+CTE["delays"] = f"""
 SELECT b.account_id, b.statement_id, b.statement_date, b.period, b.last_statement_date, b.is_last_statement,
   b.total_balance, n.next_payment_date, f.full_payment_date,
-  date_diff('day', b.statement_date, n.next_payment_date) AS next_delay,
-  date_diff('day', b.statement_date, f.full_payment_date) AS full_delay,
-  date_diff('day', b.statement_date, b.last_statement_date) + 60 AS open_days
+  {days('b.statement_date', 'n.next_payment_date')} AS next_delay,
+  {days('b.statement_date', 'f.full_payment_date')} AS full_delay,
+  {days('b.statement_date', 'b.last_statement_date')} + 60 AS open_days
 FROM bills b LEFT JOIN nextpay n USING (account_id, statement_id) LEFT JOIN fullpay f USING (account_id, statement_id)"""
 
 CTE["outc"] = """
@@ -321,7 +329,7 @@ def share_cols(variable: str, values: list[str], prefix: str | None = None) -> s
 
 def share_round(variable: str, values: list[str], prefix: str | None = None) -> str:
     prefix = f"{variable}_pct_sum_" if prefix is None else prefix
-    return ", ".join(f"round(\"{prefix}{v}\", 6) + 0.0 AS \"{prefix}{v}\"" for v in values)
+    return ", ".join(f"round(\"{prefix}{v}\" + {NUDGE}, 6) + 0.0 AS \"{prefix}{v}\"" for v in values)
 
 
 for _v, _values in SHARE_VALUES.items():
@@ -361,8 +369,8 @@ CTE["moves"] = "SELECT *, moved_q2 + moved_q3 + moved_q4 AS moves FROM moves_m"
 
 
 def gaps_sql(source: str) -> str:
-    return (f"SELECT * FROM (SELECT account_id, txn_date, date_diff('day', lag(txn_date) OVER (PARTITION BY account_id ORDER BY txn_date), "
-            f"txn_date) AS gap_days FROM (SELECT DISTINCT account_id, txn_date FROM {source})) WHERE gap_days IS NOT NULL")
+    return (f"SELECT * FROM (SELECT account_id, txn_date, {days('lag(txn_date) OVER (PARTITION BY account_id ORDER BY txn_date)', 'txn_date')} "
+            f"AS gap_days FROM (SELECT DISTINCT account_id, txn_date FROM {source})) WHERE gap_days IS NOT NULL")
 
 
 def gap_summary(source: str) -> str:
@@ -434,7 +442,7 @@ RATIOS = {
     "ratio_payment_on_owed": "CASE WHEN last_total_balance > 0 THEN last_monthly_payment / last_total_balance "
                              "WHEN last_total_balance IS NOT NULL THEN 1.0 END",
 }
-_since = "date_diff('day', last_payment_date, as_of)"
+_since = days("last_payment_date", "as_of")
 RECENCY = {
     "credit_ratio_x_days_since_payment": f"{_since} * last_credit_ratio",
     "credit_ratio_x_days_since_payment_x_delq": f"{_since} * last_credit_ratio * last_delq_cycle",
@@ -442,8 +450,8 @@ RECENCY = {
 }
 RECENCY_INTS = {
     "days_since_last_payment": _since,
-    "days_since_last_transaction": "date_diff('day', last_transaction_date, as_of)",
-    "days_from_last_payment_to_last_transaction": "date_diff('day', last_payment_date, last_transaction_date)",
+    "days_since_last_transaction": days("last_transaction_date", "as_of"),
+    "days_from_last_payment_to_last_transaction": days("last_payment_date", "last_transaction_date"),
 }
 CTE["feat"] = "SELECT *, " + ", ".join(
     f"{e} AS {n}" for n, e in {**RATIOS, **RECENCY, **RECENCY_INTS}.items()) + " FROM joined"
@@ -480,11 +488,11 @@ ZERO_FILLED = {
 def finished_column(c: str) -> str:
     """A column of the finished feature table: dates as day numbers, chosen columns 0 for NULL."""
     q = f'"{c}"'
-    expr = f"date_diff('day', DATE '1970-01-01', {q})" if "_date" in c else q
+    expr = days("DATE '1970-01-01'", q) if "_date" in c else q
     if c in ZERO_FILLED:
         expr = f"coalesce({expr}, 0)"
     if c in ASSEMBLED_DOUBLES:
-        return f"round({expr}, 6) + 0.0 AS {q}"
+        return f"round(CAST({expr} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {q}"
     return f"{expr} AS {q}"
 
 
@@ -509,7 +517,7 @@ def build(select: str) -> str:
 
 
 def rounded(source: str, others: list[str], doubles: list[str]) -> str:
-    return ("SELECT " + ", ".join([f'"{c}"' for c in others] + [f'round("{c}", 6) + 0.0 AS "{c}"' for c in doubles])
+    return ("SELECT " + ", ".join([f'"{c}"' for c in others] + [f'round(CAST("{c}" AS DOUBLE) + {NUDGE}, 6) + 0.0 AS "{c}"' for c in doubles])
             + f" FROM {source}")
 
 
@@ -563,8 +571,8 @@ def oracle_sql() -> dict[str, str]:
     q["annual_delta"] = rounded("suma", ["account_id"], [f"annual_delta_{m}" for m in DELTAS]
                                 + ["last_on_max_credit_ratio", "last_credit_ratio_x_last_delq_cycle"])
     q["quarter_ratio"] = rounded("stf", ["account_id"], ["credit_ratio_Q4_on_Q1"])
-    q["quarter_ratio_low"] = ("SELECT account_id, round(CASE WHEN \"mean_credit_ratio_Q1\" > 0.2 THEN \"mean_credit_ratio_Q4\" / \"mean_credit_ratio_Q1\" "
-                              "WHEN \"mean_credit_ratio_Q1\" IS NOT NULL THEN 1.0 END, 6) + 0.0 AS credit_ratio_q4_on_q1 FROM sumq")
+    q["quarter_ratio_low"] = ("SELECT account_id, " + r("CASE WHEN \"mean_credit_ratio_Q1\" > 0.2 THEN \"mean_credit_ratio_Q4\" / \"mean_credit_ratio_Q1\" "
+                              "WHEN \"mean_credit_ratio_Q1\" IS NOT NULL THEN 1.0 END", "credit_ratio_q4_on_q1") + " FROM sumq")
     q["trend_credit_ratio"] = rounded("tratio", ["account_id"], ["trend_credit_ratio"])
     q["trend_cash_ratio"] = rounded("tratio", ["account_id"], ["trend_cash_ratio"])
     q["trend_cash_on_credit_ratio"] = rounded("tratio", ["account_id"], ["trend_cash_on_credit_ratio"])
