@@ -309,8 +309,165 @@ def encoding_queries() -> dict[str, Query]:
 
 # Models --------------------------------------------------------------------------------------
 
+# Folds, sets and rounds of the registered runs; the library's defaults are those of a full run.
+RUN_FOLDS = 3
+RUN_SETS = 2
+RUN_ROUNDS = 5
+RUN_PARAMS = scoring.BoostParams(eta=0.1, max_depth=3, min_child_weight=3, subsample=0.5, columns=0.5, rounds=RUN_ROUNDS)
+
+_designs: dict[tuple[str, str], tuple[DataFrame, DataFrame, dict[str, bool]]] = {}
+
+
+def design(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, dict[str, bool]]:
+    """Account features, their vectors with folds and split, and the columns used; built once per folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _designs:
+        p = plan(spark, folder)
+        l = p.ledger
+        table = (
+            l.accounts.select("account_id", "default_flag")
+            .join(summaries.summary_annual(p.enriched, l.hot_statements), "account_id", "left")
+            .join(payments.payments_summary(l.payments), "account_id", "left")
+            .join(transactions.days_between_summary(l.transactions), "account_id", "left")
+            .join(favorites(p), "account_id", "left")
+        )
+        table = encode.stratified_folds(cols.drop_higher_moments(cols.dates_to_numeric(table)), "default_flag", RUN_FOLDS)
+        table = pin(encode.stratified_split(table, "default_flag", 0.9))
+        used = scoring.known_columns(table, [c for c in scoring.feature_names(table) if c not in ("fold", "in_train")])
+        _designs[key] = (table, pin(scoring.design_vector(table, used)), used)
+    return _designs[key]
+
+
+def on_design(build: Callable[[DataFrame, DataFrame, dict[str, bool]], DataFrame]) -> Query:
+    """A model query: features, vectors and column list of the folder."""
+    return lambda spark, folder: build(*design(spark, folder))
+
+
+def both_parts(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return encode.split_by_label_presence(vectors)
+
+
+def gbt_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train, test = both_parts(vectors)
+    return scoring.score(scoring.train_gbt(RUN_PARAMS).fit(train), test)
+
+
+def gbt_categorical_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train, test = both_parts(scoring.with_missing_flags(table, used))
+    trees = scoring.train_gbt_categorical(used, ["favorite_category", "favorite_sic_group"], len(BRANDS) + 1, RUN_PARAMS)
+    return scoring.score(trees.fit(train), test)
+
+
+def logistic_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train, test = both_parts(vectors)
+    return scoring.score(scoring.train_logistic_l1().fit(train), test)
+
+
+def mlp_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    """Net on standardised components, out of fold."""
+    made = scoring.Pipeline(stages=scoring.pca_stages()).fit(vectors).transform(vectors)
+    train, _ = both_parts(pin(made.select("account_id", "default_flag", "fold", "components")))
+    net = scoring.train_mlp(scoring.COMPONENTS, vector="components")
+    return scoring.oof_predict(net, train, RUN_FOLDS)[0]
+
+
+def oof_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    return scoring.oof_predict(scoring.train_gbt(RUN_PARAMS), both_parts(vectors)[0], RUN_FOLDS)[0]
+
+
+def oof_auc(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    return audit.auc_score(oof_scores(table, vectors, used), "default_flag", "default_score")
+
+
+def best_rounds(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train = both_parts(vectors)[0]
+    rounds = scoring.best_iteration(RUN_PARAMS, train, RUN_FOLDS)
+    return train.groupBy().agg(F.count("*").alias("train_rows")).withColumn("best_iteration", F.lit(rounds))
+
+
+def searched(sets: list[scoring.BoostParams]) -> Query:
+    return on_design(lambda table, vectors, used: search.search(both_parts(vectors)[0], sets, RUN_FOLDS)[0])
+
+
+def response(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    results, _ = search.search(both_parts(vectors)[0], search.random_params(RUN_SETS, RUN_ROUNDS), RUN_FOLDS, find_rounds=False)
+    return search.search_response(results, "eta", *search.ETA_RANGE)
+
+
+def importance(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    model = scoring.train_gbt(RUN_PARAMS).fit(both_parts(vectors)[0])
+    return scoring.feature_importance(model, scoring.design_names(used))
+
+
+def top_feature_table(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    """Standardised values of the features with the highest importance."""
+    names = [n for n in scoring.top_features(importance(table, vectors, used)) if n in table.columns]
+    return encode.zscore_wide_columns(table.select("account_id", *names), names)
+
+
+def l1_coefficients(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    model = scoring.train_logistic_l1().fit(both_parts(vectors)[0])
+    return scoring.coefficients(model, scoring.design_names(used))
+
+
+def curve(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train = both_parts(vectors)[0]
+    fitted, held_out = train.filter("in_train = 1"), train.filter("in_train = 0")
+    model = scoring.train_gbt(RUN_PARAMS).fit(fitted)
+    return scoring.learning_curve(model, {"train": fitted, "hold_out": held_out})
+
+
+def cv_metric(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train = both_parts(vectors)[0]
+    areas = scoring.cross_validate(scoring.train_gbt(RUN_PARAMS), train, RUN_FOLDS)
+    return train.groupBy().agg(F.count("*").alias("train_rows")).withColumn("mean_auc", F.lit(float(areas[0])))
+
+
+def ensemble(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train, test = both_parts(vectors)
+    return scoring.ensemble_mean(train, test, RUN_PARAMS, copies=10)
+
+
+def stacked(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    train = both_parts(vectors)[0]
+    trees, _ = scoring.oof_predict(scoring.train_gbt(RUN_PARAMS), train, RUN_FOLDS)
+    linear, _ = scoring.oof_predict(scoring.train_logistic_l1(), train, RUN_FOLDS)
+    return scoring.stack_features(table.filter("default_flag IS NOT NULL").select("account_id", "default_flag"),
+                                  {"score_gbt": trees, "score_logistic": linear})
+
+
+def indexed(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    names = ["favorite_category", "favorite_sic_group"]
+    return scoring.index_categories(names).fit(table).transform(table).select("account_id", *[f"{n}_index" for n in names])
+
+
+def vector_values(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    return vectors.select("account_id", scoring.vector_to_array("features").alias("values"))
+
+
 def model_queries() -> dict[str, Query]:
-    return {}
+    return {
+        "design_vector": on_design(vector_values),
+        "index_categories": on_design(indexed),
+        "pca_features": on_design(lambda table, vectors, used: scoring.pca_features(vectors)),
+        "train_gbt": on_design(gbt_scores),
+        "train_gbt_categorical": on_design(gbt_categorical_scores),
+        "train_logistic_l1": on_design(logistic_scores),
+        "train_mlp": on_design(mlp_scores),
+        "oof_predict": on_design(oof_scores),
+        "oof_auc": on_design(oof_auc),
+        "best_iteration": on_design(best_rounds),
+        "random_search": searched(search.random_params(RUN_SETS, RUN_ROUNDS)),
+        "grid_search": searched(search.grid_params(RUN_ROUNDS, columns=(0.5,), child_weights=(3,), gammas=(0.0,))),
+        "search_response": on_design(response),
+        "cross_validate": on_design(cv_metric),
+        "feature_importance": on_design(importance),
+        "top_features": on_design(top_feature_table),
+        "coefficients": on_design(l1_coefficients),
+        "learning_curve": on_design(curve),
+        "ensemble_mean": on_design(ensemble),
+        "stack_features": on_design(stacked),
+    }
 
 
 def queries() -> dict[str, Query]:

@@ -54,20 +54,21 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
     return known.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def auc_score(scored: DataFrame, label: str, score: str) -> DataFrame:
+def auc_score(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; a higher score means default.
 
-    Equal scores are counted first, so only distinct scores are put in order.
+    Equal scores are counted first, so only distinct scores are put in order. ``by`` gives one area
+    per group, for a few groups such as models.
     """
     counts = (
         scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("_score"))
+        .groupBy(*by, F.col(score).alias("_score"))
         .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     )
-    ranked = running_totals(counts, ["_score"], {"_neg_upto": F.col("_neg")})
+    ranked = running_totals(counts, ["_score"], {"_neg_upto": F.col("_neg")}, within=by)
     wins = F.col("_pos").cast("double") * (F.col("_neg_upto") - F.col("_neg") / 2)
     pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
-    return ranked.agg(
+    return ranked.groupBy(*by).agg(
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"),
         F.try_divide(F.sum(wins), pairs).alias("auc"))
 

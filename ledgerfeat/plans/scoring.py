@@ -1,8 +1,61 @@
+"""Design vectors, classifiers, out-of-fold predictions and scores, all as Spark ML jobs."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
+from statistics import median
+
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerfeat.functions.columns import NUMERIC, names_by_pattern, names_by_type
+
+LABEL = "default_flag"
+KEY = "account_id"
+SCORE = "default_score"
+VECTOR = "features"
+PATIENCE = 50
+
+
+@dataclass(frozen=True)
+class BoostParams:
+    """Settings of the boosted trees. ``columns`` is sampled per node, ``gamma`` is an impurity gain."""
+
+    eta: float = 0.02
+    max_depth: int = 4
+    min_child_weight: int = 3
+    subsample: float = 0.5
+    columns: float = 0.5
+    gamma: float = 0.0
+    rounds: int = 50
+    seed: int = 1234
+
+
+# The settings of the final ensemble, of the category-aware trees, and the dense net.
+FINAL_PARAMS = BoostParams(eta=0.003, max_depth=3, min_child_weight=1, subsample=0.5, columns=0.3, gamma=0.0, rounds=5000)
+CATEGORICAL_PARAMS = BoostParams(eta=0.01, max_depth=5, min_child_weight=1, subsample=0.4, columns=0.4, rounds=50)
+HIDDEN_LAYERS = (20, 10, 10, 10)
+EPOCHS = 8
+COMPONENTS = 20
+L1_PENALTY = 0.001
 
 
-def recode_label(df: DataFrame, label: str = "default_flag") -> DataFrame:
+def recode_label(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Class names and one indicator column per class next to the 0/1 label."""
     return df.select(
         *[c for c in df.columns if c != label],
@@ -10,3 +63,232 @@ def recode_label(df: DataFrame, label: str = "default_flag") -> DataFrame:
         (F.col(label) == 0).cast("int").alias("label_0"),
         (F.col(label) == 1).cast("int").alias("label_1"),
     )
+
+
+# Design ----------------------------------------------------------------------------------------
+
+def feature_names(df: DataFrame, without: Sequence[str] = ("default",)) -> list[str]:
+    """Numeric columns but the key, the label and names that contain one of ``without``."""
+    banned = {KEY, LABEL, *names_by_pattern(df, contains=list(without))}
+    return [c for c in names_by_type(df, *NUMERIC) if c not in banned]
+
+
+def known_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
+    """Columns with at least one value, and whether any value is missing (one row of counts)."""
+    seen = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
+    return {c: seen[c] < seen["_rows"] for c in columns if seen[c] > 0}
+
+
+def with_missing_flags(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
+    """Doubles for the columns, and a 0/1 column for each one that has missing values."""
+    others = [c for c in df.columns if c not in columns]
+    return df.selectExpr(
+        *[f"`{c}`" for c in others],
+        *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns],
+        *[f"CAST(`{c}` IS NULL AS DOUBLE) AS `{c}_missing`" for c, gaps in columns.items() if gaps],
+    )
+
+
+def design_stages(columns: Mapping[str, bool]) -> list:
+    """Mean imputation and assembly, for tables that went through ``with_missing_flags``."""
+    gaps = [c for c, missing in columns.items() if missing]
+    whole = [c for c, missing in columns.items() if not missing]
+    stages: list = []
+    if gaps:
+        stages.append(Imputer(strategy="mean", inputCols=gaps, outputCols=[f"{c}_filled" for c in gaps]))
+    names = whole + [f"{c}_filled" for c in gaps] + [f"{c}_missing" for c in gaps]
+    stages.append(VectorAssembler(inputCols=names, outputCol=VECTOR))
+    return stages
+
+
+def design_names(columns: Mapping[str, bool]) -> list[str]:
+    """Name of every vector position made by ``design_stages``."""
+    gaps = [c for c, missing in columns.items() if missing]
+    return [c for c, missing in columns.items() if not missing] + gaps + [f"{c}_missing" for c in gaps]
+
+
+def design_vector(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
+    """Key, label and feature vector."""
+    flagged = with_missing_flags(df, columns)
+    made = Pipeline(stages=design_stages(columns)).fit(flagged).transform(flagged)
+    return made.select(*[c for c in (KEY, LABEL, "fold", "in_train") if c in df.columns], VECTOR)
+
+
+def index_categories(columns: Sequence[str]) -> StringIndexer:
+    """Integer codes for the tree learner; unseen and missing values share an extra code."""
+    return StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid="keep")
+
+
+def one_hot_stages(columns: Sequence[str]) -> list:
+    """Codes and dummy vectors, one level left out per column."""
+    return [index_categories(columns), OneHotEncoder(
+        inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_dummies" for c in columns], dropLast=True)]
+
+
+def pca_stages(components: int = COMPONENTS) -> list:
+    return [
+        StandardScaler(inputCol=VECTOR, outputCol="_scaled", withMean=True, withStd=True),
+        PCA(k=components, inputCol="_scaled", outputCol="components"),
+    ]
+
+
+def pca_features(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
+    """Principal components of the standardised vector, one column each (signs are arbitrary)."""
+    made = Pipeline(stages=pca_stages(components)).fit(vectors).transform(vectors)
+    values = vector_to_array("components")
+    return made.select(KEY, *[values[i].alias(f"component_{i + 1}") for i in range(components)])
+
+
+# Estimators ------------------------------------------------------------------------------------
+
+def train_gbt(params: BoostParams = BoostParams(), vector: str = VECTOR, max_bins: int = 32) -> GBTClassifier:
+    return GBTClassifier(
+        labelCol=LABEL, featuresCol=vector, lossType="logistic", maxIter=params.rounds, maxDepth=params.max_depth,
+        stepSize=params.eta, subsamplingRate=params.subsample, featureSubsetStrategy=str(params.columns),
+        minInstancesPerNode=params.min_child_weight, minInfoGain=params.gamma, seed=params.seed, maxBins=max_bins)
+
+
+def train_gbt_categorical(numeric: Mapping[str, bool], categorical: Sequence[str], max_levels: int,
+                          params: BoostParams = CATEGORICAL_PARAMS) -> Pipeline:
+    """Trees that split on category sets; ``max_levels`` bounds the levels of a column."""
+    stages = design_stages(numeric)
+    assembler = VectorAssembler(inputCols=[VECTOR, *[f"{c}_index" for c in categorical]], outputCol="_mixed")
+    return Pipeline(stages=[
+        *stages, index_categories(categorical), assembler,
+        train_gbt(params, vector="_mixed", max_bins=max(32, max_levels + 1))])
+
+
+def train_logistic_l1(penalty: float = L1_PENALTY, vector: str = VECTOR) -> LogisticRegression:
+    return LogisticRegression(labelCol=LABEL, featuresCol=vector, elasticNetParam=1.0, regParam=penalty)
+
+
+def train_mlp(inputs: int, vector: str = VECTOR, hidden: Sequence[int] = HIDDEN_LAYERS, epochs: int = EPOCHS,
+              seed: int = 1234) -> MultilayerPerceptronClassifier:
+    """Dense net with sigmoid layers and a softmax output over the two classes."""
+    return MultilayerPerceptronClassifier(
+        labelCol=LABEL, featuresCol=vector, layers=[inputs, *hidden, 2], maxIter=epochs, seed=seed)
+
+
+# Scores ----------------------------------------------------------------------------------------
+
+def score(model: Transformer, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Probability of default per account."""
+    return model.transform(df).select(KEY, *keep, vector_to_array("probability")[1].alias(SCORE))
+
+
+def fit_fold(estimator: Estimator, df: DataFrame, fold: int) -> Model:
+    return estimator.fit(df.filter(F.col("fold") != fold))
+
+
+def oof_predict(estimator: Estimator, df: DataFrame, folds: int, parallelism: int = 4) -> tuple[DataFrame, list[Model]]:
+    """Score every row with the model fitted on the other folds; ``df`` has a ``fold`` column 1..folds.
+
+    Rows keep their account and fold, so predictions join by key.
+    """
+    numbers = range(1, folds + 1)
+    with ThreadPool(min(parallelism, folds)) as pool:
+        models = pool.map(lambda k: fit_fold(estimator, df, k), numbers)
+    out = None
+    for k, model in zip(numbers, models):
+        part = score(model, df.filter(F.col("fold") == k), keep=[LABEL, "fold"])
+        out = part if out is None else out.unionByName(part)
+    return out, models
+
+
+def attach_predictions(df: DataFrame, scores: DataFrame, name: str) -> DataFrame:
+    """Scores as a column, joined by account."""
+    return df.join(scores.select(KEY, F.col(SCORE).alias(name)), KEY, "left")
+
+
+def stack_features(df: DataFrame, predictions: Mapping[str, DataFrame]) -> DataFrame:
+    """Predictions of other models as further features."""
+    for name, scores in predictions.items():
+        df = attach_predictions(df, scores, name)
+    return df
+
+
+def booster_of(model: Model) -> GBTClassificationModel:
+    return model.stages[-1] if isinstance(model, PipelineModel) else model
+
+
+def feature_importance(model: Model, names: Sequence[str]) -> DataFrame:
+    """Importance of every used feature, largest first (one row per model column)."""
+    values = booster_of(model).featureImportances
+    rows = [(names[int(i)], float(v)) for i, v in zip(values.indices, values.values) if v > 0]
+    spark = _session()
+    fields = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
+    return spark.createDataFrame(rows, fields).orderBy(F.desc("importance"), "feature")
+
+
+def top_features(importance: DataFrame, count: int = 20) -> list[str]:
+    return [r["feature"] for r in importance.orderBy(F.desc("importance"), "feature").limit(count).collect()]
+
+
+def coefficients(model: Model, names: Sequence[str]) -> DataFrame:
+    """Intercept and coefficients of a fitted logistic model."""
+    fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
+    rows = [("(intercept)", float(fitted.intercept))] + [
+        (n, float(v)) for n, v in zip(names, fitted.coefficients.toArray())]
+    fields = T.StructType([T.StructField("term", T.StringType()), T.StructField("coefficient", T.DoubleType())])
+    return _session().createDataFrame(rows, fields)
+
+
+def learning_curve(model: Model, parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Loss after every round on each part, for example training rows and hold-out rows."""
+    rows = [
+        (name, i + 1, float(loss))
+        for name, part in parts.items()
+        for i, loss in enumerate(booster_of(model).evaluateEachIteration(part))
+    ]
+    fields = T.StructType([T.StructField("part", T.StringType()), T.StructField("round", T.IntegerType()),
+                           T.StructField("loss", T.DoubleType())])
+    return _session().createDataFrame(rows, fields)
+
+
+def _session():
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession()
+
+
+def _best_round(losses: Sequence[float], patience: int) -> int:
+    """Round with the lowest loss before it fails to improve for ``patience`` rounds."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def best_iteration(params: BoostParams, df: DataFrame, folds: int, patience: int = PATIENCE,
+                   parallelism: int = 4) -> int:
+    """Rounds after which the hold-out loss stops improving: the median over folds, rounded down."""
+    def best(k: int) -> int:
+        model = fit_fold(train_gbt(params), df, k)
+        return _best_round(model.evaluateEachIteration(df.filter(F.col("fold") == k)), patience)
+    with ThreadPool(min(parallelism, folds)) as pool:
+        return math.floor(median(pool.map(best, range(1, folds + 1))))
+
+
+def cross_validate(estimator: Estimator, df: DataFrame, folds: int = 5, parallelism: int = 4,
+                   grid: Sequence | None = None) -> list[float]:
+    """Mean hold-out AUC of each entry of ``grid`` (one entry: the estimator as it is)."""
+    zero_based = df.withColumn("_fold", F.col("fold") - 1)
+    validator = CrossValidator(
+        estimator=estimator, estimatorParamMaps=list(grid or ParamGridBuilder().build()),
+        evaluator=BinaryClassificationEvaluator(labelCol=LABEL), numFolds=folds, foldCol="_fold", parallelism=parallelism)
+    return validator.fit(zero_based).avgMetrics
+
+
+def ensemble_mean(train: DataFrame, unlabelled: DataFrame, params: BoostParams, copies: int = 10,
+                  parallelism: int = 4, make: Callable[[BoostParams], Estimator] = train_gbt) -> DataFrame:
+    """Mean score of ``copies`` boosters that differ in their seed."""
+    seeds = [replace(params, seed=params.seed + i) for i in range(copies)]
+    with ThreadPool(min(parallelism, copies)) as pool:
+        models = pool.map(lambda p: make(p).fit(train), seeds)
+    out = None
+    for i, model in enumerate(models):
+        part = score(model, unlabelled).withColumn("copy", F.lit(i + 1))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(KEY).agg(F.avg(SCORE).alias(SCORE))
