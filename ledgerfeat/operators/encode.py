@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfeat.operators.skew import distributed_ntile, row_numbers
@@ -47,24 +46,22 @@ def split_by_label_presence(df: DataFrame, label: str = "default_flag") -> tuple
 def oof_target_encode(df: DataFrame, code: str, label: str, fold: str, name: str) -> DataFrame:
     """Mean label of the rows with the same code outside the row's fold; all of them for unlabelled rows.
 
-    One aggregation: a fold's mean is the code's total less the fold's own part. A code seen in one
-    fold only has no value there. NULL is a code of its own.
+    One row per code carries its totals and a map with the part of each fold, so a fold's mean is a
+    subtraction and the rows join by code alone. A code seen in one fold only has no value there.
+    NULL is a code of its own.
     """
     parts = df.filter(F.col(label).isNotNull()).groupBy(code, fold).agg(
         F.sum(label).alias("_bad"), F.count(F.lit(1)).alias("_rows"))
-    every_fold = W.partitionBy(code)
-    rest = parts.select(
-        F.col(code).alias("_code"), F.col(fold).alias("_fold"),
-        F.try_divide(F.sum("_bad").over(every_fold) - F.col("_bad"),
-                     F.sum("_rows").over(every_fold) - F.col("_rows")).alias(name))
-    full = parts.groupBy(F.col(code).alias("_code")).agg(
-        F.try_divide(F.sum("_bad"), F.sum("_rows")).alias(name)
-    ).select("_code", F.lit(None).cast("int").alias("_fold"), name)
-    lookup = rest.unionByName(full)
-    fold_of_row = F.when(df[label].isNotNull(), df[fold])
-    return df.join(
-        lookup, df[code].eqNullSafe(lookup["_code"]) & fold_of_row.eqNullSafe(lookup["_fold"]), "left"
-    ).select(*[df[c] for c in df.columns], name)
+    lookup = parts.groupBy(F.col(code).alias("_code")).agg(
+        F.sum("_bad").alias("_all_bad"), F.sum("_rows").alias("_all_rows"),
+        # At most one entry per fold.
+        F.map_from_entries(F.collect_list(F.struct(F.col(fold), F.struct("_bad", "_rows")))).alias("_parts"))
+    joined = df.join(lookup, df[code].eqNullSafe(lookup["_code"]), "left")
+    own = F.when(df[label].isNotNull(), F.try_element_at("_parts", df[fold]))
+    return joined.select(
+        *[df[c] for c in df.columns],
+        F.try_divide(F.col("_all_bad") - F.coalesce(own["_bad"], F.lit(0)),
+                     F.col("_all_rows") - F.coalesce(own["_rows"], F.lit(0))).alias(name))
 
 
 def group_mean_target(df: DataFrame, group: str, label: str, name: str = "in_sample_mean") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerfeat.functions.scalar import days_between, month_start, ratio
 from ledgerfeat.functions.stats import basic, count_where, sample_kurtosis, sample_skewness
-from ledgerfeat.operators.skew import join_per_key
+from ledgerfeat.operators.skew import is_hot, join_per_key
 from ledgerfeat.operators.statements import RANKS, wide_series
 
 # Fixed value: days added to the time until the last statement when a bill is still unpaid.
@@ -111,6 +111,22 @@ def positive_bills(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col("total_balance") > 0)
 
 
+def _with_account_maxima(df: DataFrame, names: dict[str, str], hot: Sequence) -> DataFrame:
+    """The account's maximum of each column on all its rows.
+
+    The rows come partitioned by account, so a window costs no further shuffle; hot accounts are
+    aggregated instead, and their few maxima broadcast.
+    """
+    account = W.partitionBy("account_id")
+    cold = (df.filter(~is_hot("account_id", hot)) if hot else df).withColumns(
+        {new: F.max(old).over(account) for old, new in names.items()})
+    if not hot:
+        return cold
+    few = df.filter(is_hot("account_id", hot))
+    maxima = few.groupBy("account_id").agg(*[F.max(old).alias(new) for old, new in names.items()])
+    return cold.unionByName(few.join(F.broadcast(maxima), "account_id"))
+
+
 def bill_outcomes(enriched: DataFrame, payments: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Each bill with the dates and delays of its next and full payment.
 
@@ -131,9 +147,7 @@ def bill_outcomes(enriched: DataFrame, payments: DataFrame, hot: Sequence = ())
         "full_delay": days_between("full_payment_date", "statement_date"),
         "_open_days": days_between("last_statement_date", "statement_date") + UNPAID_EXTRA_DAYS,
     })
-    worst = dated.groupBy("account_id").agg(
-        F.max("next_delay").alias("_max_next"), F.max("full_delay").alias("_max_full"))
-    return join_per_key(dated, worst, "account_id", hot).withColumns({
+    return _with_account_maxima(dated, {"next_delay": "_max_next", "full_delay": "_max_full"}, hot).withColumns({
         "next_delay_capped": F.coalesce("next_delay", F.greatest("_max_next", "_open_days")),
         "full_delay_capped": F.coalesce("full_delay", F.greatest("_max_full", "_open_days")),
     }).drop("_max_next", "_max_full", "_open_days")
