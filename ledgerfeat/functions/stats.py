@@ -38,6 +38,13 @@ def exact_quantiles(x: str, names: dict[str, float]) -> list[Column]:
     return [F.expr(f"{both}[{i}] AS {name}") for i, name in enumerate(names)]
 
 
+def quantile_of_sorted(values: str, p: float) -> str:
+    """SQL text of the type 7 quantile of a sorted array without NULLs; NULL for an empty one."""
+    position = f"(size({values}) - 1) * {p}D"
+    low, high = (f"get({values}, CAST({f}({position}) AS INT))" for f in ("floor", "ceil"))
+    return f"({low} + ({high} - {low}) * ({position} - floor({position})))"
+
+
 def basic(x: str, names: dict[str, str]) -> list[Column]:
     """Plain aggregates of a number: ``names`` maps a SQL function to the output name."""
     return [F.expr(f"CAST({f}({x if f == 'sum' else _double(x)}) AS DOUBLE) AS {name}") for f, name in names.items()]

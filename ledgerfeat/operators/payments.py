@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerfeat.functions.scalar import days_between, month_start, ratio
 from ledgerfeat.functions.stats import basic, count_where, sample_kurtosis, sample_skewness
-from ledgerfeat.operators.skew import is_hot, join_per_key
+from ledgerfeat.operators.skew import NONE, HotKeys, cold_rows, is_hot, join_per_key
 from ledgerfeat.operators.statements import RANKS, wide_series
 
 # Fixed value: days added to the time until the last statement when a bill is still unpaid.
@@ -38,7 +38,7 @@ def payment_calendar(payments: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(entry)).alias("_calendar"))
 
 
-def _with_payments_from(statements: DataFrame, payments: DataFrame, hot: Sequence) -> DataFrame:
+def _with_payments_from(statements: DataFrame, payments: DataFrame, hot: HotKeys) -> DataFrame:
     """Statements with ``_from``: the account's payment days on or after the statement."""
     joined = join_per_key(statements, payment_calendar(payments), "account_id", hot)
     return joined.withColumn(
@@ -67,7 +67,7 @@ def _full_payment_date() -> Column:
     return F.get(reached, F.lit(0))["day"]
 
 
-def pct_paid(enriched: DataFrame, payments: DataFrame, hot: Sequence = ()) -> DataFrame:
+def pct_paid(enriched: DataFrame, payments: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """Share of each statement paid before the next one; 1 when nothing was owed or more was paid."""
     paid = _with_payments_from(
         enriched.select("account_id", "statement_id", "statement_date", "next_statement_date",
@@ -94,7 +94,7 @@ def pct_paid_summary(paid: DataFrame, ranks: Sequence[int] = RANKS) -> DataFrame
     return summary.join(wide_series(paid, ["pct_paid"], ranks), "account_id", "left")
 
 
-def payments_after(statements: DataFrame, payments: DataFrame, hot: Sequence = ()) -> DataFrame:
+def payments_after(statements: DataFrame, payments: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """Payment days and amount on or after each statement, without pairing the two."""
     return _with_payments_from(
         statements.select("account_id", "statement_id", "statement_date"), payments, hot
@@ -111,23 +111,23 @@ def positive_bills(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col("total_balance") > 0)
 
 
-def _with_account_maxima(df: DataFrame, names: dict[str, str], hot: Sequence) -> DataFrame:
+def _with_account_maxima(df: DataFrame, names: dict[str, str], hot: HotKeys) -> DataFrame:
     """The account's maximum of each column on all its rows.
 
     The rows come partitioned by account, so a window costs no further shuffle; hot accounts are
     aggregated instead, and their few maxima broadcast.
     """
     account = W.partitionBy("account_id")
-    cold = (df.filter(~is_hot("account_id", hot)) if hot else df).withColumns(
+    cold = cold_rows(df, "account_id", hot).withColumns(
         {new: F.max(old).over(account) for old, new in names.items()})
     if not hot:
         return cold
     few = df.filter(is_hot("account_id", hot))
     maxima = few.groupBy("account_id").agg(*[F.max(old).alias(new) for old, new in names.items()])
-    return cold.unionByName(few.join(F.broadcast(maxima), "account_id"))
+    return cold.unionByName(join_per_key(few, maxima, "account_id", hot))
 
 
-def bill_outcomes(enriched: DataFrame, payments: DataFrame, hot: Sequence = ()) -> DataFrame:
+def bill_outcomes(enriched: DataFrame, payments: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """Each bill with the dates and delays of its next and full payment.
 
     A missing delay is capped by the larger of the account's own worst delay and the days until 60

@@ -1,14 +1,16 @@
 """Ordered work that must not end up in one task.
 
-Two situations need care: one account holding a large part of all rows, and an order over the whole
-table. Accounts above a size are found first; their rows are range-partitioned by (account, order),
-each range is worked on alone, and small per-range totals are carried forward. The same ranges serve
-the global orders.
+Two situations need care: accounts that hold a large part of all rows, and an order over the whole
+table. Large accounts are found first; their rows are range-partitioned by (account, order), each
+range is worked on alone, and small per-range totals are carried forward. The same ranges serve the
+global orders. Every range boundary lies inside at most one group, so at most one carry row per
+range matters, whatever the number of groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,37 +20,61 @@ from ledgerfeat.session import pin
 
 BLOCK = "_block"
 
-# A key below this many rows fits a task; at most MAX_HOT_KEYS keys can each hold more than
-# 1/MAX_HOT_KEYS of the rows, so the list is bounded whatever the data.
-HOT_KEY_FLOOR = 2_000_000
+# A key below this many rows fits a task, also as an array.
+HOT_KEY_FLOOR = 1_000_000
+# Longest list of hot keys; with more of them, all keys are split.
 MAX_HOT_KEYS = 256
 
 
-def hot_keys(df: DataFrame, key: str, floor: int = HOT_KEY_FLOOR) -> tuple:
-    """Keys with at least ``floor`` rows, the largest MAX_HOT_KEYS of them."""
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys whose rows are split over tasks: a short list, or every key."""
+
+    keys: tuple = ()
+    every: bool = False
+
+    def __bool__(self) -> bool:
+        return self.every or bool(self.keys)
+
+
+NONE = HotKeys()
+
+
+def hot_keys(df: DataFrame, key: str, floor: int = HOT_KEY_FLOOR, at_most: int = MAX_HOT_KEYS) -> HotKeys:
+    """Keys with at least ``floor`` rows; every key when more than ``at_most`` are that large."""
     rows = (
         df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") >= floor)
-        .orderBy(F.desc("rows"), key)
-        .limit(MAX_HOT_KEYS)
+        .limit(at_most + 1)
         .collect()
     )
-    return tuple(row[0] for row in rows)
+    if len(rows) > at_most:
+        return HotKeys(every=True)
+    return HotKeys(tuple(sorted(row[0] for row in rows)))
 
 
-def is_hot(key: str, hot: Sequence) -> Column:
-    if not hot:
-        return F.lit(False)
-    return F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+def is_hot(key: str, hot: HotKeys) -> Column:
+    if hot.every or not hot.keys:
+        return F.lit(hot.every)
+    return F.coalesce(F.col(key).isin(list(hot.keys)), F.lit(False))
 
 
-def join_per_key(facts: DataFrame, per_key: DataFrame, key: str, hot: Sequence = (), how: str = "left") -> DataFrame:
+def cold_rows(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    return df.filter(~is_hot(key, hot)) if hot else df
+
+
+def few_or_plain(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Broadcast a side that has a few rows per listed hot key; leave it to the planner otherwise."""
+    return df if hot.every else F.broadcast(df)
+
+
+def join_per_key(facts: DataFrame, per_key: DataFrame, key: str, hot: HotKeys = NONE, how: str = "left") -> DataFrame:
     """Join many rows per key to one row per key.
 
-    Rows of hot keys stay where they are: the other side has one row for each, so at most
+    Rows of listed hot keys stay where they are: the other side has one row for each, so at most
     MAX_HOT_KEYS rows are broadcast for them.
     """
-    if not hot:
+    if not hot or hot.every:
         return facts.join(per_key, key, how)
     cold = facts.filter(~is_hot(key, hot)).join(per_key, key, how)
     few = F.broadcast(per_key.filter(is_hot(key, hot)))
@@ -67,10 +93,7 @@ def range_blocks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
 
 def running_totals(df: DataFrame, order: Sequence[Column | str], totals: Mapping[str, Column],
                    within: Sequence[str] = ()) -> DataFrame:
-    """Add inclusive running sums along ``order``, restarting for each value of ``within``.
-
-    ``within`` must have few values: one carry row exists per value and range.
-    """
+    """Add inclusive running sums along ``order``, restarting for each value of ``within``."""
     blocks = range_blocks(df.withColumns(dict(totals)), [*within, *order])
     local = W.partitionBy(*within, BLOCK).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = W.partitionBy(*within).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
@@ -79,16 +102,19 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], totals: Mapping
         .select(
             *[F.col(c).alias(f"_key_{c}") for c in within],
             F.col(BLOCK).alias("_key_block"),
-            *[F.coalesce(F.sum(f"_sum_{t}").over(earlier), F.lit(0)).alias(f"_before_{t}") for t in totals],
+            F.count(F.lit(1)).over(earlier).alias("_earlier"),
+            *[F.sum(f"_sum_{t}").over(earlier).alias(f"_before_{t}") for t in totals],
         )
+        # At most one group continues from an earlier range into each range.
+        .filter(F.col("_earlier") > 0)
     )
     same = blocks[BLOCK] == carried["_key_block"]
     for c in within:
         same = same & blocks[c].eqNullSafe(carried[f"_key_{c}"])
     out = blocks.withColumns({t: F.sum(t).over(local) for t in totals})
     return (
-        out.join(F.broadcast(carried), same)
-        .withColumns({t: F.col(t) + F.col(f"_before_{t}") for t in totals})
+        out.join(F.broadcast(carried), same, "left")
+        .withColumns({t: F.col(t) + F.coalesce(f"_before_{t}", F.lit(0)) for t in totals})
         .select(*df.columns, *totals)
     )
 
@@ -111,9 +137,9 @@ def distributed_ntile(df: DataFrame, order: Sequence[Column | str], buckets: int
     return numbered.withColumn(name, (bucket + 1).cast("int")).drop("_rn")
 
 
-def large_group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                          names: Mapping[str, float]) -> DataFrame:
-    """Exact interpolated quantiles of a few groups of any size.
+def large_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, names: Mapping[str, float],
+                          hot: HotKeys = NONE) -> DataFrame:
+    """Exact interpolated quantiles of groups of any size.
 
     ``percentile`` keeps all distinct values of a group in one task. Here equal values are counted
     first, counted upwards along ranges of the value, and only the neighbours of each position kept.
@@ -125,7 +151,7 @@ def large_group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     )
     ranked = running_totals(counts, ["_value"], {"_upto": F.col("_n")}, within=keys)
     sizes = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
-    placed = ranked.join(F.broadcast(sizes), list(keys))
+    placed = ranked.join(few_or_plain(sizes, hot), list(keys))
     ends = []
     for name, p in names.items():
         position = (F.col("_size") - 1) * F.lit(p)

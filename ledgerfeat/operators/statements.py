@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerfeat.functions.columns import widen
 from ledgerfeat.functions.scalar import flag, ratio, strict_greatest
-from ledgerfeat.operators.skew import BLOCK, is_hot, range_blocks
+from ledgerfeat.operators.skew import BLOCK, NONE, HotKeys, cold_rows, is_hot, range_blocks
 
 # The rank from the last statement that opens each period bucket.
 QUARTER_RANKS = {4: (1, 4), 3: (5, 7), 2: (8, 10), 1: (11, 14)}
@@ -58,25 +58,28 @@ def _ordered_columns_in_blocks(statements: DataFrame) -> DataFrame:
         F.max_by("total_balance", key).alias("_newest_balance"),
     )
     along = W.partitionBy("account_id").orderBy(BLOCK)
+    whole = W.partitionBy("account_id")
     carried = edges.select(
         "account_id", BLOCK,
         F.coalesce(F.sum("_rows").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_newer_rows"),
         F.lag("_oldest_date").over(along).alias("_block_next_date"),
         F.lead("_newest_balance").over(along).alias("_block_prev_balance"),
-        F.first("_newest_date").over(along).alias("last_statement_date"),
+        F.max("_newest_date").over(whole).alias("_account_last_date"),
         F.col("_rows").alias("_block_rows"),
-    )
+        F.count(F.lit(1)).over(whole).alias("_blocks"),
+    ).filter(F.col("_blocks") > 1)  # accounts that straddle a range boundary: fewer rows than twice the ranges
     first, last = F.col("_rn") == 1, F.col("_rn") == F.col("_block_rows")
     return (
         blocks.withColumns({
             "_rn": F.row_number().over(w),
             "_lag": F.lag("statement_date").over(w),
             "_lead": F.lead("total_balance").over(w),
+            "_first": F.first("statement_date").over(w),
         })
-        # At most one row per hot account and range.
-        .join(F.broadcast(carried), ["account_id", BLOCK])
+        .join(F.broadcast(carried), ["account_id", BLOCK], "left")
         .withColumns({
-            "rank_from_last": F.col("_rn") + F.col("_newer_rows"),
+            "rank_from_last": F.col("_rn") + F.coalesce("_newer_rows", F.lit(0)),
+            "last_statement_date": F.coalesce("_account_last_date", "_first"),
             "_next_date": F.when(first, F.col("_block_next_date")).otherwise(F.col("_lag")),
             "prev_total_balance": F.when(last, F.col("_block_prev_balance")).otherwise(F.col("_lead")),
         })
@@ -101,10 +104,10 @@ def ratio_features(total: str, cash: str, limit: str, prefix: str = "") -> dict[
     }
 
 
-def enrich_statements(statements: DataFrame, hot: Sequence = ()) -> DataFrame:
+def enrich_statements(statements: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """Rank, buckets, next and last dates, previous balance and ratios on every statement."""
     corrected = correct_balance(statements)
-    ordered = _ordered_columns(corrected.filter(~is_hot("account_id", hot)) if hot else corrected)
+    ordered = _ordered_columns(cold_rows(corrected, "account_id", hot))
     if hot:
         ordered = ordered.unionByName(
             _ordered_columns_in_blocks(corrected.filter(is_hot("account_id", hot))))

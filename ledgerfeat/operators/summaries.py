@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerfeat.functions.columns import widen
 from ledgerfeat.functions.scalar import flag, ratio_or_one
-from ledgerfeat.functions.stats import QUARTILES, basic, exact_quantiles, sample_kurtosis, sample_skewness
-from ledgerfeat.operators.skew import is_hot, large_group_quantiles
+from ledgerfeat.functions.stats import QUARTILES, basic, quantile_of_sorted, sample_kurtosis, sample_skewness
+from ledgerfeat.operators.skew import NONE, HotKeys, cold_rows, is_hot, large_group_quantiles
 from ledgerfeat.operators.statements import HALVES, QUARTERS
 
 # The summarised measures and which statistics each group of them gets.
@@ -22,58 +22,85 @@ SPREAD_MEASURES = MEASURES[:-1]
 POSITIVE_COUNTS = ("total_balance", "cash_balance", "delq_cycle")
 
 
-def _plain_aggregates(skewed: Sequence[str]) -> list[Column]:
-    out = [F.expr(f"count_if({m} > 0) AS count_positive_{m}") for m in POSITIVE_COUNTS]
-    for m in MEASURES:
-        out += basic(m, {"sum": f"sum_{m}", "max": f"max_{m}", "avg": f"mean_{m}", "min": f"min_{m}"})
-        out.append(sample_kurtosis(m).alias(f"kurtosis_{m}"))
-    out += [sample_skewness(m).alias(f"skewness_{m}") for m in skewed]
-    for m in SPREAD_MEASURES:
-        out += basic(m, {"stddev_samp": f"sd_{m}"})
-    return out
+def _names(measures: Sequence[str], suffix: str = "") -> dict[str, tuple[str, float]]:
+    """Quartile columns: name to (measure, position)."""
+    return {f"{p}_{m}{suffix}": (m, at) for m in measures for p, at in QUARTILES.items()}
 
 
-def aggregate_with_quartiles(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column],
-                             measures: Sequence[str], hot: Sequence = (), key: str = "account_id") -> DataFrame:
-    """``aggregates`` and exact quartiles of ``measures`` per group in one pass.
+def with_quartiles(df: DataFrame, aggregates: Sequence[Column], measures: Sequence[str], hot: HotKeys = NONE,
+                   period: str | None = None, values: Sequence[int] = ()) -> DataFrame:
+    """``aggregates`` per account and exact quartiles of ``measures``, over all rows or per ``period`` value.
 
-    All other aggregates keep buffers of fixed size; only the quartiles of hot accounts are worked
-    out apart, and come back as a handful of rows.
+    The rows of an account are collected once and its quartiles read off sorted arrays; hot accounts
+    are left out of that, counted in distributed order instead, and appended.
     """
-    names = {m: {f"{p}_{m}": at for p, at in QUARTILES.items()} for m in measures}
+    fields = ", ".join([*([period] if period else []), *[f"CAST({m} AS DOUBLE) AS {m}" for m in measures]])
+    collected = cold_rows(df, "account_id", hot).groupBy("account_id").agg(
+        *aggregates, F.expr(f"collect_list(struct({fields})) AS _rows"))
+    plain = [c for c in collected.columns if c != "_rows"]
+    parts = {f"_{period.upper()}{v}": f"filter(_rows, r -> r.{period} = {v})" for v in values} if period else {"": "_rows"}
+    sources = collected.selectExpr(*plain, *[f"{rows} AS `_rows{suffix}`" for suffix, rows in parts.items()])
+    arrays = sources.selectExpr(*plain, *[
+        f"sort_array(filter(transform(`_rows{suffix}`, r -> r.{m}), x -> x IS NOT NULL)) AS `_sorted_{m}{suffix}`"
+        for suffix in parts for m in measures])
+    wanted = {n: at for suffix in parts for n, at in _names(measures, suffix).items()}
+    out = arrays.selectExpr(*plain, *[
+        f"{quantile_of_sorted(f'`_sorted_{m}{n[len(f'p25_{m}'):]}`', at)} AS `{n}`" for n, (m, at) in wanted.items()])
     if not hot:
-        return df.groupBy(*keys).agg(*aggregates, *[q for m in measures for q in exact_quantiles(m, names[m])])
-    masked = df.withColumns({f"_cold_{m}": F.when(~is_hot(key, hot), F.col(m)) for m in measures})
-    out = masked.groupBy(*keys).agg(
-        *aggregates, *[q for m in measures for q in exact_quantiles(f"_cold_{m}", names[m])])
-    large = df.filter(is_hot(key, hot))
-    for m in measures:
-        found = large_group_quantiles(large, keys, m, {f"_{name}": at for name, at in names[m].items()})
-        # One row per hot account (and period).
-        out = out.join(F.broadcast(found), list(keys), "left").withColumns({
-            name: F.coalesce(name, f"_{name}") for name in names[m]
-        }).drop(*[f"_{name}" for name in names[m]])
-    return out
-
-
-def summary_by_period(enriched: DataFrame, period: str, hot: Sequence = ()) -> DataFrame:
-    """All measures by account and ``period`` (``q`` or ``h``), one row per pair."""
-    return aggregate_with_quartiles(
-        enriched, ["account_id", period], _plain_aggregates(SPREAD_MEASURES), SPREAD_MEASURES, hot)
+        return out
+    large = df.filter(is_hot("account_id", hot))
+    keys = ["account_id", *([period] if period else [])]
+    long = large.select(*keys, *[F.col(m).cast("double").alias(m) for m in measures]).unpivot(
+        keys, list(measures), "measure", "value")
+    found = large_group_quantiles(long, [*keys, "measure"], "value", QUARTILES, hot)
+    label = F.concat_ws("", "measure", *([F.lit(f"_{period.upper()}"), F.col(period)] if period else []))
+    groups = [f"{m}{suffix}" for suffix in parts for m in measures]
+    wide = widen(found.withColumn("_group", label), "account_id", "_group", groups, list(QUARTILES), lambda p, g: f"{p}_{g}")
+    rest = large.groupBy("account_id").agg(*aggregates) if aggregates else large.select("account_id").distinct()
+    return out.unionByName(rest.join(wide, "account_id", "left").select(*out.columns))
+
+
+def _numbers(enriched: DataFrame, skewed: Sequence[str], period: str | None = None,
+             values: Sequence[int] = ()) -> DataFrame:
+    """Sums, extremes, means and moments of every measure, wide.
+
+    The measures are unpivoted first: one small aggregation over (account, measure) compiles to tight
+    code, where dozens of aggregates side by side do not.
+    """
+    keys = ["account_id", *([period] if period else [])]
+    long = enriched.select(*keys, *[F.col(m).cast("double").alias(m) for m in MEASURES]).unpivot(
+        keys, list(MEASURES), "measure", "value")
+    stats = long.groupBy(*keys, "measure").agg(
+        F.expr("count_if(value > 0)").alias("count_positive"),
+        *basic("value", {"sum": "sum", "max": "max", "avg": "mean", "min": "min", "stddev_samp": "sd"}),
+        sample_kurtosis("value").alias("kurtosis"), sample_skewness("value").alias("skewness"))
+    suffixes = [f"_{period.upper()}{v}" for v in values] if period else [""]
+    if period:
+        stats = stats.withColumn("measure", F.concat_ws("", "measure", F.lit(f"_{period.upper()}"), F.col(period))).drop(period)
+    names = [c for c in stats.columns if c not in ("account_id", "measure")]
+    wide = widen(stats, "account_id", "measure", [f"{m}{x}" for x in suffixes for m in MEASURES], names,
+                 lambda stat, group: f"{stat}_{group}")
+    wanted = [
+        *[("count_positive", m) for m in POSITIVE_COUNTS],
+        *[(stat, m) for m in MEASURES for stat in ("sum", "max", "mean", "min", "kurtosis")],
+        *[("skewness", m) for m in skewed], *[("sd", m) for m in SPREAD_MEASURES],
+    ]
+    chosen = [f"{stat}_{m}{x}" for x in suffixes for stat, m in wanted]
+    return wide.selectExpr("account_id", *[f"`{c}`" for c in chosen])
 
 
-def _wide(enriched: DataFrame, period: str, values: Sequence[int], hot: Sequence) -> DataFrame:
-    long = summary_by_period(enriched, period, hot)
-    measures = [c for c in long.columns if c not in ("account_id", period)]
-    return widen(long, "account_id", period, values, measures, lambda m, v: f"{m}_{period.upper()}{v}")
+def summary_by_period(enriched: DataFrame, period: str, values: Sequence[int], hot: HotKeys = NONE) -> DataFrame:
+    """All measures by account and ``period`` (``q`` or ``h``), one column per measure and value."""
+    quartiles = with_quartiles(enriched, [], SPREAD_MEASURES, hot, period, values)
+    return _numbers(enriched, SPREAD_MEASURES, period, values).join(quartiles, "account_id", "left")
 
 
-def summary_quarter(enriched: DataFrame, hot: Sequence = (), quarters: Sequence[int] = QUARTERS) -> DataFrame:
-    return _wide(enriched, "q", quarters, hot)
+def summary_quarter(enriched: DataFrame, hot: HotKeys = NONE, quarters: Sequence[int] = QUARTERS) -> DataFrame:
+    return summary_by_period(enriched, "q", quarters, hot)
 
 
-def summary_semester(enriched: DataFrame, hot: Sequence = (), halves: Sequence[int] = HALVES) -> DataFrame:
-    return _wide(enriched, "h", halves, hot)
+def summary_semester(enriched: DataFrame, hot: HotKeys = NONE, halves: Sequence[int] = HALVES) -> DataFrame:
+    return summary_by_period(enriched, "h", halves, hot)
 
 
 def last_first_values(measures: Sequence[str] = MEASURES) -> list[Column]:
@@ -105,13 +132,12 @@ def annual_deltas() -> dict[str, Column]:
     return out
 
 
-def summary_annual(enriched: DataFrame, hot: Sequence = ()) -> DataFrame:
+def summary_annual(enriched: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """All measures over the whole history, with last and first values and what follows from them."""
-    out = aggregate_with_quartiles(
-        enriched, ["account_id"],
-        [F.count(F.lit(1)).alias("count_statements"), *_plain_aggregates(MEASURES), *last_first_values()],
-        SPREAD_MEASURES, hot)
-    return out.withColumns({**new_extreme_flags(), **annual_deltas()})
+    ends = with_quartiles(
+        enriched, [F.count(F.lit(1)).alias("count_statements"), *last_first_values()], SPREAD_MEASURES, hot)
+    return _numbers(enriched, MEASURES).join(ends, "account_id", "left").withColumns(
+        {**new_extreme_flags(), **annual_deltas()})
 
 
 def quarter_ratio(min_denominator: float = 1.0) -> Column:

@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfeat.functions.columns import widen
 from ledgerfeat.functions.scalar import days_between, flag, not_in, ratio
 from ledgerfeat.functions.stats import QUARTILES, basic, exact_quantiles, sample_kurtosis, sample_skewness
-from ledgerfeat.operators.skew import distributed_ntile, join_per_key
+from ledgerfeat.operators.skew import NONE, HotKeys, distributed_ntile, join_per_key
 from ledgerfeat.operators.statements import quarter_of, quarter_starts
-from ledgerfeat.operators.summaries import aggregate_with_quartiles
+from ledgerfeat.operators.summaries import with_quartiles
 
 # Counted columns, columns of the spending shares, columns grouped by frequency,
 # categories never taken as favourite, and the code of pooled values.
@@ -36,7 +36,7 @@ TXN_QUARTERS = (1, 2, 3, 4)
 NULL_NAME = "NA"
 
 
-def transactions_in_quarters(transactions: DataFrame, enriched: DataFrame, hot: Sequence = ()) -> DataFrame:
+def transactions_in_quarters(transactions: DataFrame, enriched: DataFrame, hot: HotKeys = NONE) -> DataFrame:
     """Transactions that fall in a quarter of their account, with that quarter in ``q``."""
     dated = transactions.withColumn("txn_date", F.to_date("at"))
     placed = join_per_key(dated, quarter_starts(enriched), "account_id", hot, how="inner")
@@ -200,26 +200,27 @@ def days_between_summary(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _amount_summary(transactions: DataFrame, keys: Sequence[str], hot: Sequence) -> DataFrame:
-    return aggregate_with_quartiles(transactions, keys, [
+def _amount_aggregates() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("count_transactions"),
         *basic("amount", {"max": "max_amount", "stddev_samp": "sd_amount", "avg": "mean_amount", "sum": "sum_amount"}),
         F.to_date(F.max("at")).alias("last_transaction_date"),
-    ], ["amount"], hot)
+    ]
 
 
-def transactions_annual(transactions: DataFrame, hot: Sequence = (), profile: DataFrame | None = None) -> DataFrame:
+def transactions_annual(transactions: DataFrame, hot: HotKeys = NONE, profile: DataFrame | None = None) -> DataFrame:
     """Distinct counts, amounts and last date per account."""
     if profile is None:
         profile = category_profile(transactions, DISTINCT_COLUMNS)
-    return _amount_summary(transactions, ["account_id"], hot).join(distinct_counts(profile), "account_id")
+    return with_quartiles(transactions, _amount_aggregates(), ["amount"], hot).join(distinct_counts(profile), "account_id")
 
 
-def transactions_quarter(placed: DataFrame, hot: Sequence = (), profile: DataFrame | None = None) -> DataFrame:
+def transactions_quarter(placed: DataFrame, hot: HotKeys = NONE, profile: DataFrame | None = None) -> DataFrame:
     """The same per quarter, one column per measure and quarter."""
     keys = ["account_id", "q"]
     if profile is None:
         profile = category_profile(placed, DISTINCT_COLUMNS, keys)
-    long = _amount_summary(placed, keys, hot).join(distinct_counts(profile, by=keys), keys)
+    long = placed.groupBy(*keys).agg(*_amount_aggregates()).join(distinct_counts(profile, by=keys), keys)
     measures = [c for c in long.columns if c not in keys]
-    return widen(long, "account_id", "q", TXN_QUARTERS, measures, lambda m, q: f"{m}_Q{q}")
+    wide = widen(long, "account_id", "q", TXN_QUARTERS, measures, lambda m, q: f"{m}_Q{q}")
+    return wide.join(with_quartiles(placed, [], ["amount"], hot, "q", TXN_QUARTERS), "account_id", "left")

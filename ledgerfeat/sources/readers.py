@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfeat import schema
-from ledgerfeat.operators.skew import hot_keys
+from ledgerfeat.operators.skew import NONE, HotKeys, hot_keys
 
 
 @dataclass(frozen=True)
@@ -22,8 +22,8 @@ class Ledger:
     statements: DataFrame
     payments: DataFrame
     transactions: DataFrame
-    hot_statements: tuple = ()
-    hot_transactions: tuple = ()
+    hot_statements: HotKeys = NONE
+    hot_transactions: HotKeys = NONE
 
     def with_hot_accounts(self, floor: int | None = None) -> Ledger:
         """Find the accounts whose statements or transactions must be split over several tasks."""

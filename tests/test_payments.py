@@ -6,6 +6,7 @@ from builders import months, payments, random_ledger, statements
 
 from conftest import rows_of
 from ledgerfeat.operators import payments as pm
+from ledgerfeat.operators.skew import NONE, HotKeys
 from ledgerfeat.operators.statements import enrich_statements
 
 
@@ -58,7 +59,7 @@ def test_never_paid_account(spark):
     assert row.next_delay is None and row.full_delay_capped == 60
 
 
-@pytest.mark.parametrize("hot", [(), (1,)])
+@pytest.mark.parametrize("hot", [NONE, HotKeys((1,)), HotKeys(every=True)])
 @pytest.mark.parametrize("negative", [False, True])
 def test_against_brute_force(spark, hot, negative):
     ledger = random_ledger(spark, seed=3, negative=negative)

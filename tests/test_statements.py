@@ -1,9 +1,11 @@
 from datetime import date, timedelta
 
-from builders import months, statements
+import pytest
+from builders import months, random_ledger, statements
 
 from conftest import rows_of
 from ledgerfeat.operators import statements as st
+from ledgerfeat.operators.skew import HotKeys
 
 
 def test_balance_below_cash_and_null_balance(spark):
@@ -58,10 +60,10 @@ def test_wide_series_has_a_column_per_rank(spark):
     assert row.balance_delta_t_minus_3 is None and float(row.balance_delta_t_minus_2) == 0
 
 
-def test_hot_accounts_give_the_same_columns(spark):
-    from builders import random_ledger
+@pytest.mark.parametrize("hot", [HotKeys((1, 2)), HotKeys(every=True)])
+def test_hot_accounts_give_the_same_columns(spark, hot):
     ledger = random_ledger(spark)
     plain = st.enrich_statements(ledger.statements)
-    split = st.enrich_statements(ledger.statements, hot=(1, 2))
+    split = st.enrich_statements(ledger.statements, hot)
     assert split.columns == plain.columns
     assert rows_of(split) == rows_of(plain)

@@ -6,6 +6,7 @@ from builders import months, random_ledger, statements
 from conftest import rows_of
 from ledgerfeat.operators import payments as pm
 from ledgerfeat.operators import skew, summaries, transactions, trends
+from ledgerfeat.operators.skew import HotKeys
 from ledgerfeat.operators.statements import enrich_statements
 
 
@@ -29,7 +30,7 @@ def test_constant_and_single_rows_have_no_moments_or_slope(spark):
 
 def test_number_of_measures(spark):
     enriched = enrich_statements(statements(spark, months(1, 14)))
-    assert len(summaries.summary_by_period(enriched, "q").columns) == 2 + 62
+    assert len(summaries.summary_quarter(enriched).columns) == 1 + 5 * 62
     assert len(summaries.summary_annual(enriched).columns) == 1 + 62 + 1 + 1 + 14 + 6 + 6
 
 
@@ -50,29 +51,37 @@ def test_quarter_ratio_threshold(spark):
     assert df.select(summaries.quarter_ratio(0.5)).collect()[2][0] == 2.0
 
 
-@pytest.mark.parametrize("period", ["q", "h"])
-def test_hot_accounts_give_the_same_summaries(spark, period):
+HOT = [HotKeys((1, 3)), HotKeys(every=True)]
+
+
+@pytest.mark.parametrize("hot", HOT)
+@pytest.mark.parametrize("summary", [summaries.summary_quarter, summaries.summary_semester, summaries.summary_annual])
+def test_hot_accounts_give_the_same_summaries(spark, summary, hot):
     enriched = enrich_statements(random_ledger(spark).statements)
-    plain = summaries.summary_by_period(enriched, period)
-    split = summaries.summary_by_period(enriched, period, hot=(1, 3))
-    assert rows_of(split.select(*plain.columns)) == rows_of(plain)
+    plain = summary(enriched)
+    assert rows_of(summary(enriched, hot).select(*plain.columns)) == rows_of(plain)
 
 
-def test_hot_accounts_give_the_same_annual_and_transaction_summaries(spark):
+@pytest.mark.parametrize("hot", HOT)
+def test_hot_accounts_give_the_same_transaction_summaries(spark, hot):
     ledger = random_ledger(spark)
     enriched = enrich_statements(ledger.statements)
-    plain = summaries.summary_annual(enriched)
-    assert rows_of(summaries.summary_annual(enriched, hot=(1,)).select(*plain.columns)) == rows_of(plain)
     plain = transactions.transactions_annual(ledger.transactions)
-    assert rows_of(transactions.transactions_annual(ledger.transactions, hot=(1,)).select(*plain.columns)) == rows_of(plain)
+    assert rows_of(transactions.transactions_annual(ledger.transactions, hot).select(*plain.columns)) == rows_of(plain)
+    placed = transactions.transactions_in_quarters(ledger.transactions, enriched)
+    split = transactions.transactions_in_quarters(ledger.transactions, enriched, hot)
+    assert rows_of(split.select(*placed.columns)) == rows_of(placed)
+    plain = transactions.transactions_quarter(placed)
+    assert rows_of(transactions.transactions_quarter(placed, hot).select(*plain.columns)) == rows_of(plain)
 
 
 def test_hot_keys_are_found_by_size(spark):
     ledger = random_ledger(spark)
-    assert skew.hot_keys(ledger.statements, "account_id", floor=300) == (1,)
+    assert skew.hot_keys(ledger.statements, "account_id", floor=300) == HotKeys((1,))
     found = ledger.with_hot_accounts(floor=300)
-    assert found.hot_statements == (1,) and found.hot_transactions == (1,)
-    assert ledger.with_hot_accounts().hot_statements == ()
+    assert found.hot_statements == HotKeys((1,)) and found.hot_transactions == HotKeys((1,))
+    assert not ledger.with_hot_accounts().hot_statements
+    assert skew.hot_keys(ledger.statements, "account_id", floor=1, at_most=3) == HotKeys(every=True)
 
 
 def test_large_group_quantiles(spark):
