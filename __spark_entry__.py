@@ -268,6 +268,14 @@ def assembled(p: features.FeaturePlan) -> DataFrame:
     return features.assemble_features(p)
 
 
+def with_families(*names: str) -> Callable[[features.FeaturePlan], DataFrame]:
+    """Accounts joined to some families only."""
+    def build(p: features.FeaturePlan) -> DataFrame:
+        found = p.families()
+        return features.join_families(p.ledger.accounts, [found[n]() for n in names])
+    return build
+
+
 def encoding_queries() -> dict[str, Query]:
     labels = ("account_id", "default_flag")
     return {
@@ -299,9 +307,12 @@ def encoding_queries() -> dict[str, Query]:
             F.sum("amount").cast("double").alias("sum_amount")).orderBy(F.desc("sum_amount"), "account_id").limit(20)),
         "sort": on_ledger(lambda l: l.statements.select("account_id", "statement_id", "statement_date").orderBy(
             "account_id", "statement_date", "statement_id")),
-        "account_ratios": on_plan(lambda p: assembled(p).select("account_id", *features.account_ratios())),
-        "recency_features": on_plan(lambda p: assembled(p).select("account_id", *features.recency_features())),
-        "history_flags": on_plan(lambda p: assembled(p).select("account_id", *features.history_flags())),
+        "account_ratios": on_plan(lambda p: with_families("payments", "transactions", "statements")(p).select(
+            "account_id", *[e.alias(n) for n, e in features.account_ratios().items()])),
+        "recency_features": on_plan(lambda p: with_families("payments", "transactions", "statements")(p).select(
+            "account_id", *[e.alias(n) for n, e in features.recency_features().items()])),
+        "history_flags": on_plan(lambda p: with_families("payments", "transactions", "statements", "bills", "full_payers")(p)
+                                 .withColumns(features.history_flags()).select("account_id", *features.history_flags())),
         "assemble_features": on_plan(assembled, stage=pin),
         "feature_table": on_plan(lambda p: features.finish_features(assembled(p)), stage=pin),
     }
@@ -364,10 +375,11 @@ def logistic_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool])
 
 
 def mlp_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
-    """Net on standardised components, out of fold."""
-    made = scoring.Pipeline(stages=scoring.pca_stages()).fit(vectors).transform(vectors)
-    train, _ = both_parts(pin(made.select("account_id", "default_flag", "fold", "components")))
-    net = scoring.train_mlp(scoring.COMPONENTS, vector="components")
+    """Net on the standardised top features and the principal components, out of fold."""
+    names = [n for n in scoring.top_features(importance(table, vectors, used)) if n in table.columns]
+    inputs = scoring.net_inputs(table, vectors, names)
+    train, _ = both_parts(pin(inputs))
+    net = scoring.train_mlp(len(names) + scoring.COMPONENTS, vector="net_inputs")
     return scoring.oof_predict(net, train, RUN_FOLDS)[0]
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import cached_property
+from collections.abc import Callable, Iterable, Sequence
+from functools import cached_property, reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerfeat.functions.columns import dates_to_numeric, drop_higher_moments, fill_null
 from ledgerfeat.functions.scalar import days_between, flag, ratio, ratio_or_one
 from ledgerfeat.operators import encode, payments, statements, summaries, transactions, trends
+from ledgerfeat.session import pin
 from ledgerfeat.sources.readers import Ledger
 
 # Columns that mean 0 when an account has no payments, never paid in full, or has
@@ -41,8 +43,9 @@ CATEGORICAL = (
 class FeaturePlan:
     """The intermediate tables of the feature job, each built once per plan.
 
-    ``stage`` materialises a table that several later steps read (for example ``session.pin``, or a
-    Parquet round trip); by default everything stays lazy.
+    ``stage`` materialises a table that several later steps read: ``session.pin``, or
+    ``session.bucketed_stage`` where a warehouse is at hand. By default everything stays lazy, which
+    suits plans that use a part of the tables.
     """
 
     def __init__(self, ledger: Ledger, stage: Callable[[DataFrame], DataFrame] = lambda df: df,
@@ -112,41 +115,61 @@ class FeaturePlan:
             self.quarter_profile, "city", "favorite_city", by=("account_id", "q"), numeric=True)
         return transactions.city_moves(favorites)
 
-    def statement_features(self) -> DataFrame:
-        hot = self.ledger.hot_statements
-        return (
-            summaries.summary_annual(self.enriched, hot)
-            .join(statements.wide_statement_features(self.enriched), "account_id", "left")
-            .join(summaries.summary_semester(self.enriched, hot), "account_id", "left")
-            .join(summaries.summary_quarter(self.enriched, hot), "account_id", "left")
-            .withColumn("credit_ratio_Q4_on_Q1", summaries.quarter_ratio())
-        )
-
-    def transaction_features(self) -> DataFrame:
-        hot = self.ledger.hot_transactions
+    def favorites(self) -> DataFrame:
+        """Favourite merchant group and category, and how spread out the account's spending is."""
         p = self.profile
         return (
-            transactions.transactions_annual(self.ledger.transactions, hot, p)
-            .join(transactions.transactions_quarter(self.placed, hot, self.quarter_profile), "account_id", "left")
-            .join(transactions.spend_shares(p, self.share_values), "account_id", "left")
-            .join(transactions.favorite_value(p, "sic_group", "favorite_sic_group"), "account_id", "left")
+            transactions.favorite_value(p, "sic_group", "favorite_sic_group")
             .join(transactions.favorite_value(
                 p, "category", "favorite_category", exclude=transactions.EXCLUDED_CATEGORIES), "account_id", "left")
-            .join(self.moves, "account_id", "left")
             .join(transactions.diversity_index(p), "account_id", "left")
-            .join(transactions.days_between_summary(self.ledger.transactions), "account_id", "left")
-            .withColumn("has_transaction_data", F.lit(1))
         )
 
+    def transaction_totals(self) -> DataFrame:
+        ledger = self.ledger
+        return transactions.transactions_annual(
+            ledger.transactions, ledger.hot_transactions, self.profile).withColumn("has_transaction_data", F.lit(1))
+
     def bill_features(self) -> DataFrame:
-        return (
-            payments.bills_outcome_summary(self.outcomes)
-            .join(trends.trend_delays(self.outcomes), "account_id", "left")
-        )
+        return payments.bills_outcome_summary(self.outcomes).join(
+            trends.trend_delays(self.outcomes), "account_id", "left")
 
     def paid_features(self) -> DataFrame:
         return payments.pct_paid_summary(self.paid).join(trends.trend_pct_paid(self.paid), "account_id", "left")
 
+    def families(self) -> dict[str, Callable[[], DataFrame]]:
+        """Makers of tables with one row per account; each is a job of its own when staged."""
+        ledger = self.ledger
+        stm_hot, txn_hot = ledger.hot_statements, ledger.hot_transactions
+        return {
+            "payments": lambda: payments.payments_summary(ledger.payments),
+            "transactions": self.transaction_totals,
+            "transactions_by_quarter": lambda: transactions.transactions_quarter(
+                self.placed, txn_hot, self.quarter_profile),
+            "shares": lambda: transactions.spend_shares(self.profile, self.share_values),
+            "favorites": self.favorites,
+            "moves": lambda: self.moves,
+            "gaps": lambda: transactions.days_between_summary(ledger.transactions),
+            "city": lambda: self.encoded_city,
+            "statements": lambda: summaries.summary_annual(self.enriched, stm_hot),
+            "statement_series": lambda: statements.wide_statement_features(self.enriched),
+            "semesters": lambda: summaries.summary_semester(self.enriched, stm_hot),
+            "quarters": lambda: summaries.summary_quarter(self.enriched, stm_hot).withColumn(
+                "credit_ratio_Q4_on_Q1", summaries.quarter_ratio()),
+            "bills": self.bill_features,
+            "ratio_trends": lambda: trends.trend_ratios(self.enriched),
+            "paid": self.paid_features,
+            "full_payers": lambda: payments.full_payers(self.outcomes),
+        }
+
+    def staged_families(self, parallelism: int = 4) -> list[DataFrame]:
+        """All families, a few jobs at a time, the tables they share first."""
+        with ThreadPool(parallelism) as pool:
+            self.enriched, self.placed
+            shared = [lambda: self.profile, lambda: self.quarter_profile, lambda: self.outcomes]
+            pool.map(lambda make: make(), shared, chunksize=1)
+            return pool.map(lambda make: self.stage(make()), self.families().values(), chunksize=1)
+
 
 def account_ratios() -> dict:
     """Paid and spent over the limit, spent over paid, last month's payment over the balance owed."""
@@ -186,19 +209,18 @@ def history_flags() -> dict:
     }
 
 
+def join_families(accounts: DataFrame, families: Iterable[DataFrame]) -> DataFrame:
+    return reduce(lambda left, right: left.join(right, "account_id", "left"), families, accounts)
+
+
 def assemble_features(plan: FeaturePlan) -> DataFrame:
-    """Accounts with every summary. All sides are keyed by account, one row each."""
-    ledger = plan.ledger
+    """Accounts with every family.
+
+    Families are staged one by one: joined lazily they would form one stage with dozens of sorts and
+    aggregations that compete for a task's memory.
+    """
     return (
-        ledger.accounts
-        .join(payments.payments_summary(ledger.payments), "account_id", "left")
-        .join(plan.transaction_features(), "account_id", "left")
-        .join(plan.encoded_city, "account_id", "left")
-        .join(plan.statement_features(), "account_id", "left")
-        .join(plan.bill_features(), "account_id", "left")
-        .join(trends.trend_ratios(plan.enriched), "account_id", "left")
-        .join(plan.paid_features(), "account_id", "left")
-        .join(payments.full_payers(plan.outcomes), "account_id", "left")
+        join_families(plan.ledger.accounts, plan.staged_families())
         .withColumns({**account_ratios(), **recency_features()})
         .withColumns(history_flags())
         # No balance precedes the oldest statement; the last ratio stays in its products only.
@@ -213,6 +235,6 @@ def finish_features(assembled: DataFrame) -> DataFrame:
     return drop_higher_moments(out)
 
 
-def feature_table(ledger: Ledger, **options) -> DataFrame:
+def feature_table(ledger: Ledger, stage: Callable[[DataFrame], DataFrame] = pin, **options) -> DataFrame:
     """From the ledger to the finished feature table."""
-    return finish_features(assemble_features(FeaturePlan(ledger, **options)))
+    return finish_features(assemble_features(FeaturePlan(ledger, stage, **options)))

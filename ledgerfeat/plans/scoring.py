@@ -19,11 +19,12 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfeat.functions.columns import NUMERIC, names_by_pattern, names_by_type
+from ledgerfeat.operators.encode import zscore_wide_columns
 
 LABEL = "default_flag"
 KEY = "account_id"
@@ -139,6 +140,15 @@ def pca_features(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     return made.select(KEY, *[values[i].alias(f"component_{i + 1}") for i in range(components)])
 
 
+def net_inputs(table: DataFrame, vectors: DataFrame, names: Sequence[str], components: int = COMPONENTS) -> DataFrame:
+    """Standardised chosen features (0, the mean, where missing) and principal components in one vector."""
+    scaled = zscore_wide_columns(table.select(KEY, *names), names).fillna(0.0, subset=list(names))
+    made = Pipeline(stages=pca_stages(components)).fit(vectors).transform(vectors).drop(VECTOR, "_scaled")
+    joined = made.join(scaled, KEY)
+    return VectorAssembler(inputCols=[*names, "components"], outputCol="net_inputs").transform(joined).select(
+        *[c for c in (KEY, LABEL, "fold", "in_train") if c in vectors.columns], "net_inputs")
+
+
 # Estimators ------------------------------------------------------------------------------------
 
 def train_gbt(params: BoostParams = BoostParams(), vector: str = VECTOR, max_bins: int = 32) -> GBTClassifier:
@@ -215,9 +225,8 @@ def feature_importance(model: Model, names: Sequence[str]) -> DataFrame:
     """Importance of every used feature, largest first (one row per model column)."""
     values = booster_of(model).featureImportances
     rows = [(names[int(i)], float(v)) for i, v in zip(values.indices, values.values) if v > 0]
-    spark = _session()
     fields = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
-    return spark.createDataFrame(rows, fields).orderBy(F.desc("importance"), "feature")
+    return SparkSession.active().createDataFrame(rows, fields).orderBy(F.desc("importance"), "feature")
 
 
 def top_features(importance: DataFrame, count: int = 20) -> list[str]:
@@ -230,7 +239,7 @@ def coefficients(model: Model, names: Sequence[str]) -> DataFrame:
     rows = [("(intercept)", float(fitted.intercept))] + [
         (n, float(v)) for n, v in zip(names, fitted.coefficients.toArray())]
     fields = T.StructType([T.StructField("term", T.StringType()), T.StructField("coefficient", T.DoubleType())])
-    return _session().createDataFrame(rows, fields)
+    return SparkSession.active().createDataFrame(rows, fields)
 
 
 def learning_curve(model: Model, parts: Mapping[str, DataFrame]) -> DataFrame:
@@ -242,12 +251,7 @@ def learning_curve(model: Model, parts: Mapping[str, DataFrame]) -> DataFrame:
     ]
     fields = T.StructType([T.StructField("part", T.StringType()), T.StructField("round", T.IntegerType()),
                            T.StructField("loss", T.DoubleType())])
-    return _session().createDataFrame(rows, fields)
-
-
-def _session():
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
+    return SparkSession.active().createDataFrame(rows, fields)
 
 
 def _best_round(losses: Sequence[float], patience: int) -> int:
