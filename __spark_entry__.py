@@ -376,7 +376,7 @@ def logistic_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool])
 
 def mlp_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     """Net on the standardised top features and the principal components, out of fold."""
-    names = [n for n in scoring.top_features(importance(table, vectors, used)) if n in table.columns]
+    names = scoring.source_columns(scoring.top_features(importance(table, vectors, used)))
     inputs = scoring.net_inputs(table, vectors, names)
     train, _ = both_parts(pin(inputs))
     net = scoring.train_mlp(len(names) + scoring.COMPONENTS, vector="net_inputs")
@@ -413,7 +413,7 @@ def importance(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> D
 
 def top_feature_table(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     """Standardised values of the features with the highest importance."""
-    names = [n for n in scoring.top_features(importance(table, vectors, used)) if n in table.columns]
+    names = scoring.source_columns(scoring.top_features(importance(table, vectors, used)))
     return encode.zscore_wide_columns(table.select("account_id", *names), names)
 
 
@@ -448,19 +448,26 @@ def stacked(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> Data
                                   {"score_gbt": trees, "score_logistic": linear})
 
 
-def indexed(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+def indexed(p: features.FeaturePlan) -> DataFrame:
     names = ["favorite_category", "favorite_sic_group"]
+    table = pin(p.ledger.accounts.select("account_id").join(favorites(p), "account_id", "left"))
     return scoring.index_categories(names).fit(table).transform(table).select("account_id", *[f"{n}_index" for n in names])
 
 
-def vector_values(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
-    return vectors.select("account_id", scoring.vector_to_array("features").alias("values"))
+def vector_values(p: features.FeaturePlan) -> DataFrame:
+    """Imputed payment statistics with their missing flags, read back from the assembled vector."""
+    facts = pin(p.ledger.accounts.select("account_id", "default_flag").join(
+        payments.payments_monthly(p.ledger.payments), "account_id", "left"))
+    used = scoring.known_columns(facts, scoring.feature_names(facts))
+    values = scoring.vector_to_array("features")
+    return scoring.design_vector(facts, used).select(
+        "account_id", "default_flag", *[values[i].alias(n) for i, n in enumerate(scoring.design_names(used))])
 
 
 def model_queries() -> dict[str, Query]:
     return {
-        "design_vector": on_design(vector_values),
-        "index_categories": on_design(indexed),
+        "design_vector": on_plan(vector_values),
+        "index_categories": on_plan(indexed),
         "pca_features": on_design(lambda table, vectors, used: scoring.pca_features(vectors)),
         "train_gbt": on_design(gbt_scores),
         "train_gbt_categorical": on_design(gbt_categorical_scores),

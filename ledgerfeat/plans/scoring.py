@@ -93,19 +93,18 @@ def with_missing_flags(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
 def design_stages(columns: Mapping[str, bool]) -> list:
     """Mean imputation and assembly, for tables that went through ``with_missing_flags``."""
     gaps = [c for c, missing in columns.items() if missing]
-    whole = [c for c, missing in columns.items() if not missing]
     stages: list = []
     if gaps:
         stages.append(Imputer(strategy="mean", inputCols=gaps, outputCols=[f"{c}_filled" for c in gaps]))
-    names = whole + [f"{c}_filled" for c in gaps] + [f"{c}_missing" for c in gaps]
-    stages.append(VectorAssembler(inputCols=names, outputCol=VECTOR))
+    stages.append(VectorAssembler(inputCols=design_names(columns), outputCol=VECTOR))
     return stages
 
 
 def design_names(columns: Mapping[str, bool]) -> list[str]:
     """Name of every vector position made by ``design_stages``."""
     gaps = [c for c, missing in columns.items() if missing]
-    return [c for c, missing in columns.items() if not missing] + gaps + [f"{c}_missing" for c in gaps]
+    whole = [c for c, missing in columns.items() if not missing]
+    return whole + [f"{c}_filled" for c in gaps] + [f"{c}_missing" for c in gaps]
 
 
 def design_vector(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
@@ -233,6 +232,11 @@ def top_features(importance: DataFrame, count: int = 20) -> list[str]:
     return [r["feature"] for r in importance.orderBy(F.desc("importance"), "feature").limit(count).collect()]
 
 
+def source_columns(names: Sequence[str]) -> list[str]:
+    """The table columns behind names of the design vector, each once, in order."""
+    return list(dict.fromkeys(n.removesuffix("_filled").removesuffix("_missing") for n in names))
+
+
 def coefficients(model: Model, names: Sequence[str]) -> DataFrame:
     """Intercept and coefficients of a fitted logistic model."""
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model

@@ -676,6 +676,22 @@ def oracle_sql() -> dict[str, str]:
     q["top_k"] = f"SELECT account_id, {r('sum_amount')} FROM txa ORDER BY sum_amount DESC, account_id LIMIT 20"
     q["sort"] = "SELECT account_id, statement_id, statement_date FROM enr ORDER BY account_id, statement_date, statement_id"
 
+    q["drop_unusable_columns"] = rounded("paysum", ["account_id", "count_payments", "last_payment_date", "n_not_reversed",
+                                                    "has_payment_data", "count_monthly_payments"],
+                                         [c for c in PAYSUM if not c.startswith(("kurtosis", "skewness"))])
+
+    # Design columns.
+    filled = ["count_monthly_payments", *PMONTH]
+    q["design_vector"] = ("SELECT account_id, default_flag, " + ", ".join(
+        r(f"coalesce({c}, avg({c}) OVER ())", f"{c}_filled") + f", CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in filled)
+        + " FROM acc LEFT JOIN pmonth USING (account_id)")
+    index = ("(SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS {c}_index FROM {t} GROUP BY {c})")
+    q["index_categories"] = (
+        "SELECT account_id, coalesce(favorite_category_index, (SELECT CAST(count(DISTINCT favorite_category) AS DOUBLE) FROM favcat)) AS favorite_category_index, "
+        "coalesce(favorite_sic_group_index, (SELECT CAST(count(DISTINCT favorite_sic_group) AS DOUBLE) FROM favsic)) AS favorite_sic_group_index "
+        f"FROM acc LEFT JOIN favcat USING (account_id) LEFT JOIN {index.format(c='favorite_category', t='favcat')} USING (favorite_category) "
+        f"LEFT JOIN favsic USING (account_id) LEFT JOIN {index.format(c='favorite_sic_group', t='favsic')} USING (favorite_sic_group)")
+
     # The feature table.
     q["account_ratios"] = rounded("feat", ["account_id"], list(RATIOS))
     q["recency_features"] = rounded("feat", ["account_id"] + list(RECENCY_INTS), list(RECENCY))

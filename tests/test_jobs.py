@@ -121,7 +121,7 @@ PARAMS = scoring.BoostParams(eta=0.3, max_depth=2, min_child_weight=1, subsample
 def test_design_names_and_flags(vectors):
     _, made, used = vectors
     assert used == {"signal": False, "noise": False, "holes": True}
-    assert scoring.design_names(used) == ["signal", "noise", "holes", "holes_missing"]
+    assert scoring.design_names(used) == ["signal", "noise", "holes_filled", "holes_missing"]
     row = made.filter("account_id = 0").first()
     assert row.features[3] == 1.0 and 1.5 < row.features[2] < 2.5
 
@@ -139,6 +139,7 @@ def test_importance_curve_and_best_round(vectors):
     model = scoring.train_gbt(PARAMS).fit(train)
     names = scoring.design_names(vectors[2])
     assert scoring.top_features(scoring.feature_importance(model, names), 1) == ["signal"]
+    assert scoring.source_columns(names) == ["signal", "noise", "holes"]
     losses = [r.loss for r in scoring.learning_curve(model, {"train": train}).orderBy("round").collect()]
     assert losses == sorted(losses, reverse=True) and len(losses) == 4
     assert 1 <= scoring.best_iteration(PARAMS, train, 3) <= 4
