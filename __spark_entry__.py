@@ -297,7 +297,10 @@ def encoding_queries() -> dict[str, Query]:
         "drop_unusable_columns": on_plan(lambda p: audit.drop_unusable_columns(
             payments.payments_summary(p.ledger.payments), keep=["account_id"])),
         "column_range": on_plan(lambda p: audit.column_range(payments.pct_paid_summary(p.paid).drop("account_id"))),
-        "histogram": on_plan(lambda p: audit.histogram(trends.trend_pct_paid(p.paid), "trend_pct_paid", -0.5, 0.5, 20)),
+        "histogram": on_plan(lambda p: audit.histogram(
+            # Rounded first: slopes of zero carry a sign in their last bits, and zero is an edge.
+            trends.trend_pct_paid(p.paid).withColumn("trend_pct_paid", F.round("trend_pct_paid", 6)),
+            "trend_pct_paid", -0.5, 0.5, 20)),
         "auc_score": on_plan(lambda p: audit.auc_score(labelled_ratio(p), "default_flag", "last_credit_ratio")),
         "auc_score_tied": on_plan(lambda p: audit.auc_score(
             labelled_ratio(p, "delq_cycle"), "default_flag", "last_delq_cycle")),

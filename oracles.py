@@ -661,7 +661,7 @@ def oracle_sql() -> dict[str, str]:
     q["column_range"] = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {r(f'max({c}) - min({c})', 'value_range')} FROM psum" for c in PSUM)
     q["histogram"] = (f"SELECT CAST(CASE WHEN t < -0.5 THEN 0 WHEN t >= 0.5 THEN {BINS + 1} ELSE floor((t + 0.5) * {BINS}) + 1 END AS BIGINT) AS bin, "
-                      "count(*) AS n_rows FROM (SELECT trend_pct_paid AS t FROM tpaid WHERE trend_pct_paid IS NOT NULL) GROUP BY 1")
+                      "count(*) AS n_rows FROM (SELECT round(trend_pct_paid, 6) AS t FROM tpaid WHERE trend_pct_paid IS NOT NULL) GROUP BY 1")
     score = "SELECT default_flag AS y, last_credit_ratio AS s FROM suma JOIN acc USING (account_id) WHERE default_flag IS NOT NULL AND last_credit_ratio IS NOT NULL"
     q["auc_score"] = (f"SELECT sum(y) :: BIGINT AS n_pos, sum(1 - y) :: BIGINT AS n_neg, "
                       f"{r('(sum(rk) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y))', 'auc')} FROM ("
