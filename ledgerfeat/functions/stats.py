@@ -5,8 +5,6 @@ They take SQL text (a column name or expression), so that hundreds of them build
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,8 +55,3 @@ def slope(y: str, x: str) -> Column:
 
 def count_where(condition: Column) -> Column:
     return F.count_if(condition)
-
-
-def distinct_with_null(columns: Sequence[str]) -> list[Column]:
-    """Distinct values of each column, NULL counted as one value."""
-    return [F.expr(f"count(DISTINCT {c}) + max(CAST({c} IS NULL AS INT)) AS n_distinct_{c}") for c in columns]
