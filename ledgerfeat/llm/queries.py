@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import mixing, near_dedup
+from ledgerfeat.llm import fingerprints, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and of their edits by the next document."""
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles are at least 85 % alike."""
     groups = near_dedup.near_duplicate_groups(table(spark, folder, "documents"), percent=85)
@@ -88,6 +93,7 @@ SELECT doc_id, size, source_size, target,
 def queries() -> dict[str, Query]:
     return {
         "op2_source_mixing": op2_source_mixing,
+        "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
