@@ -18,6 +18,14 @@ from ledgerfeat.session import pin
 from ledgerfeat.sources import orders
 from ledgerfeat.sources.readers import stack_tables
 
+try:  # the corpus operators can be left out of an installation
+    import corpus_pipeline
+    from ledgerfeat.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ledgerfeat.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 # Values of the category-like columns that become feature columns.
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
@@ -494,11 +502,22 @@ def model_queries() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     return {**clean_queries(), **statement_queries(), **payment_queries(), **transaction_queries(),
-            **encoding_queries(), **model_queries()}
+            **encoding_queries(), **model_queries(), **corpus()}
+
+
+def corpus() -> dict[str, Query]:
+    if corpus_queries is None:
+        return {}
+    return {**corpus_queries.queries(), "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if corpus_queries is not None:
+        found |= corpus_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
