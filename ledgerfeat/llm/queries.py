@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import fingerprints, mixing, near_dedup
+from ledgerfeat.llm import fingerprints, html_extract, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op3_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles are at least 85 % alike."""
     groups = near_dedup.near_duplicate_groups(table(spark, folder, "documents"), percent=85)
@@ -94,6 +99,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_source_mixing": op2_source_mixing,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op8_html_extraction": op8_html_extraction,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
