@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import fingerprints, html_extract, mixing, near_dedup
+from ledgerfeat.llm import chat_format, fingerprints, html_extract, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,20 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, folder, "pages"))
 
 
+#: A conversation whose texts are full of control strings.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """What the examples of all conversations hold when they are read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+                           for i, role in enumerate(("user", "assistant"))])))
+    return chat_format.read_back(chat_format.chat_examples(turns.unionByName(control)))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles are at least 85 % alike."""
     groups = near_dedup.near_duplicate_groups(table(spark, folder, "documents"), percent=85)
@@ -58,6 +72,22 @@ FROM sets s JOIN least l ON l.node = s.doc_id
 """
 
 
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+placed AS (
+  SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS turns,
+    sum(length(role) + len(regexp_extract_all(role, '[\\<>]')) + length(text) + len(regexp_extract_all(text, '[\\<>]')) + 17)
+      OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(upto) FILTER (role = 'assistant' OR place = turns))::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
 MIXING_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -100,6 +130,7 @@ def queries() -> dict[str, Query]:
         "op2_source_mixing": op2_source_mixing,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op8_html_extraction": op8_html_extraction,
+        "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
@@ -107,5 +138,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": MIXING_SQL,
+        "op9_chat_formatting": CHAT_SQL,
         "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
     }
