@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, fingerprints, html_extract, mixing, near_dedup
+from ledgerfeat.llm import chat_format, fingerprints, html_extract, mixing, near_dedup, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,12 @@ def op3_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op6_toxicity_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all texts, learned from the labels outside the held-out part."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html_extract.extract_pages(table(spark, folder, "pages"))
@@ -46,6 +52,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all texts, learned from the labels outside the held-out part."""
+    docs = table(spark, folder, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
     return mixing.mix(table(spark, folder, "documents")).drop("source")
@@ -127,8 +139,10 @@ SELECT doc_id, size, source_size, target,
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
         "op2_source_mixing": op2_source_mixing,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op6_toxicity_classifier": op6_toxicity_classifier,
         "op8_html_extraction": op8_html_extraction,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
