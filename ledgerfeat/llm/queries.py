@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, fingerprints, html_extract, mixing, near_dedup, quality, toxicity
+from ledgerfeat.llm import chat_format, fingerprints, html_extract, mixing, near_dedup, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,12 @@ def op6_toxicity_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts without the passages that an earlier document holds as well."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html_extract.extract_pages(table(spark, folder, "pages"))
@@ -84,6 +90,27 @@ FROM sets s JOIN least l ON l.node = s.doc_id
 """
 
 
+SUBSTRING_SQL = r"""
+WITH pieces AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS p,
+    regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, place, array_to_string(w[place:place + 49], ' ') AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS place FROM pieces)),
+firsts AS (SELECT v, min(doc_id) AS first FROM windows GROUP BY v HAVING min(doc_id) < max(doc_id)),
+later AS (SELECT doc_id, place FROM windows JOIN firsts USING (v) WHERE doc_id <> first),
+words AS (
+  SELECT doc_id, place, piece, max(l.place) OVER (PARTITION BY doc_id ORDER BY place) AS latest
+  FROM (SELECT doc_id, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS place FROM pieces) LEFT JOIN later l USING (doc_id, place)),
+cut AS (
+  SELECT doc_id, coalesce(string_agg(piece, '' ORDER BY place) FILTER (latest IS NULL OR latest < place - 49), '') AS rest,
+    count(*) FILTER (latest >= place - 49) AS removed_words FROM words GROUP BY doc_id)
+SELECT p.doc_id, regexp_extract(p.text, '^[\x20\x09-\x0D]*') || coalesce(c.rest, '') AS text,
+  coalesce(c.removed_words, 0) AS removed_words,
+  length(regexp_extract(p.text, '^[\x20\x09-\x0D]*') || coalesce(c.rest, '')) AS n_chars
+FROM pieces p LEFT JOIN cut c ON p.doc_id = c.doc_id
+"""
+
 CHAT_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -143,6 +170,7 @@ def queries() -> dict[str, Query]:
         "op2_source_mixing": op2_source_mixing,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op6_toxicity_classifier": op6_toxicity_classifier,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_html_extraction": op8_html_extraction,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
@@ -152,6 +180,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": MIXING_SQL,
+        "op7_substring_dedup": SUBSTRING_SQL,
         "op9_chat_formatting": CHAT_SQL,
         "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
     }
