@@ -1,30 +1,62 @@
-"""The corpus job: filters, deduplicates and mixes ``documents``."""
+"""The corpus job: filters, deduplicates, decontaminates and mixes ``documents``.
+
+Every stage works on all rows that the one before it kept. A stage that reads a further table reads it from ``sf_dir``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerfeat.llm import decontaminate, mixing, near_dedup, substring_dedup, toxicity
+from ledgerfeat.session import ensure_checkpoint_dir
+
 
-from ledgerfeat.llm import mixing, near_dedup
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled documents outside the held-out part, calls toxic go."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, model)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles, similarity 0.8 or more)."""
     return near_dedup.drop_near_duplicates(docs, percent=80)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds as well are cut from the texts; ``n_chars`` follows."""
+    return substring_dedup.remove_repeats(docs).drop("removed_words").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document that is left."""
     return mixing.mix(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("mix", mix)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
+#: The first stage is a trained classifier, which SQL cannot express; tests compare the stages with plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; each result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

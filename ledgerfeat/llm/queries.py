@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, decontaminate, fingerprints, html_extract, mixing, near_dedup, quality, substring_dedup, toxicity
+from ledgerfeat.llm import chat_format, decontaminate, fingerprints, html_extract, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op3_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of all texts under the maximum-entropy model."""
+    return lm_score.lm_scores(table(spark, folder, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in all documents."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -175,6 +180,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_classifier": op1_quality_classifier,
         "op2_source_mixing": op2_source_mixing,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_toxicity_classifier": op6_toxicity_classifier,
         "op7_substring_dedup": op7_substring_dedup,
