@@ -6,8 +6,9 @@
    list a class under its rarest values (the prefix of its sketch in order of list length), with no loss, and values
    of passages that many documents hold fall out of the lists of all documents that have other content.
 4. Candidates are met in the lists, estimated on the sketch of their union, and verified on full sets.
-   Two rounds first compare members with one leader per list. The last round compares what is still in different
-   components of a list, so a group of many copies never becomes all its pairs.
+   The first round compares the members of a list with its most central one, whose values the others share most. The
+   last round compares what is still in different components of a list. There a pair is left out when the shingles
+   that no other open class holds rule the similarity out, so a group of many copies never becomes all its pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ SHINGLE_WORDS = 5
 SKETCH = 48
 #: Chance that a pair exactly at the similarity shares fewer retained values than `least_overlap`.
 MISS = 1e-9
-STAR_ROUNDS = 2
+#: How often classes that cannot be in a link are left out before pairs are met.
+OWN_PASSES = 2
 
 
 def least_overlap(drawn: int, percent: int, miss: float = MISS) -> int:
@@ -84,24 +86,39 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Full sets of the classes' own texts; another text under the same document id has another digest and goes."""
     for batch in batches:
-        sets = [shingle_set(t, width).tobytes() for t in texts_of(batch, "text")]
-        own = [hashlib.blake2b(s, digest_size=16).digest() == d.as_py() for s, d in zip(sets, batch.column("digest"))]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())],
-                                         names=["id", "shingles"]).filter(pa.array(own, pa.bool_()))
+        sets = [shingle_set(t, width) for t in texts_of(batch, "text")]
+        own = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d.as_py() for s, d in zip(sets, batch.column("digest"))]
+        halves = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(halves, pa.binary())],
+            names=["id", "shingles", "halves"]).filter(pa.array(own, pa.bool_()))
+
+
+def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]
+        ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(np.concatenate(sets) if sets else [], pa.int64())], names=["id", "shingle"])
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int, kind: type) -> Iterator[pa.RecordBatch]:
+    """Pairs that are like enough by their sets of ``kind``: whole hashes, or halves, which can only look more alike."""
     for batch in batches:
         keep = []
-        for left, right in zip(batch.column("left"), batch.column("right")):
-            x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+        for left, right, nx, ny in zip(batch.column("left"), batch.column("right"), batch.column("na").to_pylist(),
+                                       batch.column("nb").to_pylist()):
+            x, y = np.frombuffer(left.as_buffer(), kind), np.frombuffer(right.as_buffer(), kind)
+            shared = len(np.intersect1d(x, y, assume_unique=True)) + min(nx - len(x), ny - len(y))
+            keep.append(100 * shared >= percent * (nx + ny - shared))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
 
 def _inverted_lists(classes: DataFrame, percent: int, sketch: int) -> DataFrame:
-    """Rows (value, id, n) for the rarest shared values of each class."""
+    """Rows (value, id, n, central, listed) for the rarest shared values of each class.
+
+    ``listed`` are all values of the class's rows, ``central`` the mean length of the lists of its whole sketch.
+    """
     rows = classes.select("id", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     shared = rows.groupBy("value").agg(F.count("*").alias("length")).where("length > 1")
     joined = rows.join(shared, "value")
@@ -110,8 +127,9 @@ def _inverted_lists(classes: DataFrame, percent: int, sketch: int) -> DataFrame:
     ranked = (joined.groupBy("id", "n", "kept")
               .agg(F.sort_array(F.collect_list(F.struct("length", "value"))).alias("held")))  # at most `sketch` values
     room = F.greatest(lengths[F.col("kept")] - (F.col("kept") - F.size("held")), F.lit(0))
-    listed = ranked.select("id", "n", F.explode(F.slice("held", 1, room)).alias("v"))
-    return listed.select(F.col("v.value").alias("value"), "id", "n")
+    central = F.aggregate("held", F.lit(0.0), lambda total, h: total + h["length"]) / F.col("kept")
+    listed = ranked.select("id", "n", central.alias("central"), F.slice("held", 1, room)["value"].alias("listed"))
+    return listed.select(F.explode("listed").alias("value"), "id", "n", "central", "listed")
 
 
 class _Verifier:
@@ -121,7 +139,7 @@ class _Verifier:
         self.percent, self.sketch = percent, sketch
         self.members = members
         involved = texts.join(members.select("id", "digest", F.col("least").alias("doc")), "doc")
-        self.sets = pin(involved.select("id", "digest", "text").mapInArrow(lambda it: _set_batches(it, width), "id long, shingles binary"))
+        self.sets = pin(involved.select("id", "digest", "text").mapInArrow(lambda it: _set_batches(it, width), "id long, shingles binary, halves binary"))
 
     def estimate(self) -> str:
         """Condition on sketches ``sa`` and ``sb``: shared values among the smallest of the union."""
@@ -137,13 +155,27 @@ class _Verifier:
         right = self.members.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
         return pairs.join(left, "a").join(right, "b").where(self.estimate()).select("a", "b")
 
+    def own_shingles(self, ids: DataFrame) -> DataFrame:
+        """``id`` and ``own``, the number of its shingles that no other of the classes ``ids`` holds."""
+        rows = (self.sets.join(ids, "id", "left_semi")
+                .mapInArrow(_shingle_batches, "id long, shingle long"))
+        held = rows.groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("holders"))
+        return held.where("holders = 1").groupBy("id").agg(F.count("*").alias("own"))
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) at or above the similarity."""
-        left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-        right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+        """Pairs (a, b) at or above the similarity, by halves of the hashes first and then by whole ones."""
+        return self._compared(self._compared(pairs, "halves", np.uint32), "shingles", np.uint64)
+
+    def _compared(self, pairs: DataFrame, column: str, kind: type) -> DataFrame:
+        sizes = F.floor(F.length("shingles") / 8).cast("long")
+        left = self.sets.select(F.col("id").alias("a"), sizes.alias("na"), F.col(column).alias("left"))
+        right = self.sets.select(F.col("id").alias("b"), sizes.alias("nb"), F.col(column).alias("right"))
+        # A set meets its partners in lists, cut by a salt, so that it is not repeated on the way to the first join.
+        partners = pairs.groupBy("a", F.pmod(F.hash("b"), F.lit(64))).agg(F.collect_list("b").alias("bs"))
+        met = partners.join(left, "a").select("a", "na", "left", F.explode("bs").alias("b")).join(right, "b")
         percent = self.percent
-        return (pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-                .mapInArrow(lambda it: _verify_batches(it, percent), "a long, b long"))
+        return (met.select("a", "b", "left", "right", "na", "nb")
+                .mapInArrow(lambda it: _verify_batches(it, percent, kind), "a long, b long"))
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
@@ -167,26 +199,30 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     check = _Verifier(listed, texts, percent, width, sketch)
     same_size = f"least(na, nb) * 100 >= {percent} * greatest(na, nb)"
 
-    links: DataFrame | None = None
-    placed = lists.withColumn("part", F.col("id"))
-    for turn in range(STAR_ROUNDS):
-        leaders = placed.groupBy("value").agg(F.min(F.struct(
-            F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("b"), F.col("n").alias("nb"),
-            F.col("part").alias("pb"))).alias("l")).select("value", "l.b", "l.nb", "l.pb")
-        pairs = (placed.withColumnsRenamed({"id": "a", "n": "na"}).join(leaders, "value")
-                 .where(f"part <> pb AND {same_size}").select("a", "b").distinct())
-        found = pin(check.verified(check.close(pairs)))
-        links = found if links is None else links.unionByName(found)
-        placed = pin(_placed(lists, links))
-    # What is left: members of one list that are in different components.
+    # First round: members of a list against its most central member.
+    leaders = lists.groupBy("value").agg(F.max(F.struct("central", F.col("n").alias("nb"), F.col("id").alias("b"))).alias("l"))
+    pairs = (lists.select("value", F.col("id").alias("a"), F.col("n").alias("na"))
+             .join(leaders.select("value", "l.b", "l.nb"), "value").where(f"a <> b AND {same_size}").select("a", "b").distinct())
+    links = pin(check.verified(check.close(pairs)))
+    placed = pin(_placed(lists, links))
+    # Last round: what is left in different components of a list.
     mixed = placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    open_rows = placed.join(mixed.select("value"), "value", "left_semi").join(listed.select("id", "sketch"), "id")
-    left = open_rows.select("value", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"),
-                            F.col("sketch").alias("sa"))
-    right = open_rows.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"),
-                             F.col("sketch").alias("sb"))
-    pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {same_size} AND {check.estimate()}")
-             .select("a", "b").distinct())
+    open_rows = pin(placed.join(mixed.select("value"), "value", "left_semi"))
+    # A class with so many shingles of its own is like no other. Without it others have more of their own.
+    able_ids = open_rows.select("id", "n").distinct()
+    for _ in range(OWN_PASSES):
+        own = check.own_shingles(able_ids.select("id"))
+        able_ids = pin(able_ids.select("id", "n").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+                       .where(f"100 * (n - own) >= {percent} * n"))
+    able = (open_rows.join(able_ids.select("id", "own"), "id").join(listed.select("id", "sketch"), "id"))
+    left = able.select("value", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"),
+                       F.col("sketch").alias("sa"), (F.col("n") - F.col("own")).alias("ma"), F.col("listed").alias("la"))
+    right = able.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"),
+                        F.col("sketch").alias("sb"), (F.col("n") - F.col("own")).alias("mb"), F.col("listed").alias("lb"))
+    possible = f"(100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)"
+    first_meeting = "array_min(array_intersect(la, lb)) = value"
+    pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {possible} AND {first_meeting} AND {check.estimate()}")
+             .select("a", "b"))
     links = links.unionByName(pin(check.verified(pairs)))
 
     # Links between classes and, where one id holds several texts, between its classes.
@@ -209,7 +245,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def _placed(lists: DataFrame, links: DataFrame) -> DataFrame:
     groups = components(links)
     return (lists.join(groups.withColumnsRenamed({"node": "id"}), "id", "left")
-            .select("value", "id", "n", F.coalesce("root", "id").alias("part")))
+            .select("value", "id", "n", "listed", F.coalesce("root", "id").alias("part")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
