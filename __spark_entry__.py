@@ -26,30 +26,33 @@ except ModuleNotFoundError as missing:
         raise
     corpus_pipeline = corpus_queries = None
 
-# Values of the category-like columns that become feature columns.
-TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-NATIONS = [str(i) for i in range(25)]
-DECILES = [str(i) for i in range(1, 11)]
-SHARE_VALUES = {
-    "decision": ["N", "R"], "category": TYPES, "country": NATIONS, "country_decile": DECILES,
-    "city_decile": DECILES, "sic_group": BRANDS, "txn_category": ["0", "1", "2", "3"], "txn_type": ["F", "O"],
-}
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+_ledgers: dict[tuple, orders.Ledger] = {}
 
-_ledgers: dict[tuple[str, str], orders.Ledger] = {}
+
+def folder_state(spark: SparkSession, folder: str) -> tuple:
+    """Session, folder, and the names, sizes and times of the folder's files: results for older files are not used again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, folders = [], [path]
+    while folders:
+        for s in system.listStatus(folders.pop()):
+            if s.isDirectory():
+                folders.append(s.getPath())
+            else:
+                found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return spark.sparkContext.applicationId, folder, tuple(sorted(found))
 
 
 def ledger(spark: SparkSession, folder: str) -> orders.Ledger:
-    """The four views, with the accounts to split found once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The four views, with the accounts to split found once per session and state of the folder."""
+    key = folder_state(spark, folder)
     if key not in _ledgers:
         _ledgers[key] = orders.load_orders(spark, folder).with_hot_accounts()
     return _ledgers[key]
 
 
 def plan(spark: SparkSession, folder: str, **options) -> features.FeaturePlan:
-    return features.FeaturePlan(ledger(spark, folder), share_values=SHARE_VALUES, **options)
+    return features.FeaturePlan(ledger(spark, folder), **options)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -192,16 +195,26 @@ def payment_queries() -> dict[str, Query]:
 
 # Transactions --------------------------------------------------------------------------------
 
+def all_shares(rows: DataFrame, variable: str, prefix: str | None = None) -> DataFrame:
+    """Spending shares with a column for every value in the rows."""
+    profile = transactions.category_profile(rows, [variable])
+    return transactions.spend_share(profile, variable, transactions.distinct_values(profile, "value"), prefix)
+
+
 def spend_share(variable: str) -> Query:
     def build(l: orders.Ledger) -> DataFrame:
         rows = l.transactions
         if variable.endswith("_decile"):
             rows = transactions.bucket_lookup(rows, [variable.removesuffix("_decile")])
-        return transactions.spend_share(
-            transactions.category_profile(rows, [variable]), variable, SHARE_VALUES[variable])
+        return all_shares(rows, variable)
     return on_ledger(build)
 
 
+def category_share(l: orders.Ledger) -> DataFrame:
+    profile = transactions.category_profile(l.transactions, ["txn_category"])
+    return transactions.category_share(profile, transactions.distinct_values(profile, "value"))
+
+
 def favorite(variable: str, name: str, **options) -> Query:
     return on_ledger(lambda l: transactions.favorite_value(
         transactions.category_profile(l.transactions, [variable]), variable, name, **options))
@@ -214,11 +227,9 @@ def transaction_queries() -> dict[str, Query]:
         "transactions_quarter": on_plan(lambda p: transactions.transactions_quarter(p.placed, p.ledger.hot_transactions)),
         "distinct_counts": on_ledger(lambda l: transactions.distinct_counts(
             transactions.category_profile(l.transactions, transactions.DISTINCT_COLUMNS))),
-        **{f"spend_share_{v}": spend_share(v) for v in SHARE_VALUES},
-        "category_share": on_ledger(lambda l: transactions.category_share(
-            transactions.category_profile(l.transactions, ["txn_category"]), SHARE_VALUES["txn_category"])),
-        "spend_share_events": on_events(lambda e: transactions.spend_share(
-            transactions.category_profile(e, ["category"]), "category", EVENT_TYPES)),
+        **{f"spend_share_{v}": spend_share(v) for v in transactions.SHARE_COLUMNS},
+        "category_share": on_ledger(category_share),
+        "spend_share_events": on_events(lambda e: all_shares(e, "category")),
         "share_of_total": on_ledger(lambda l: transactions.share_of_total(
             transactions.category_profile(l.transactions, ["category"]), "category")),
         "diversity_index": on_ledger(lambda l: transactions.diversity_index(
@@ -296,8 +307,7 @@ def encoding_queries() -> dict[str, Query]:
         "stratified_split": on_ledger(lambda l: encode.stratified_split(l.accounts.select(*labels), "default_flag", 0.9)),
         "oof_target_encode": on_plan(lambda p: p.encoded_city),
         "one_hot": on_plan(lambda p: encode.one_hot(
-            favorites(p), ["favorite_category", "favorite_sic_group"],
-            {"favorite_category": TYPES, "favorite_sic_group": BRANDS})),
+            favorites(p), ["favorite_category", "favorite_sic_group"])),
         "zscore_wide_columns": on_plan(zscored),
         "missing_audit": on_plan(lambda p: audit.missing_audit(statements.wide_statement_features(p.enriched))),
         "nonfinite_audit": on_plan(lambda p: audit.nonfinite_audit(payments.pct_paid_summary(p.paid).drop("account_id"))),
@@ -337,12 +347,12 @@ RUN_SETS = 2
 RUN_ROUNDS = 5
 RUN_PARAMS = scoring.BoostParams(eta=0.1, max_depth=3, min_child_weight=3, subsample=0.5, columns=0.5, rounds=RUN_ROUNDS)
 
-_designs: dict[tuple[str, str], tuple[DataFrame, DataFrame, dict[str, bool]]] = {}
+_designs: dict[tuple, tuple[DataFrame, DataFrame, dict[str, bool]]] = {}
 
 
 def design(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, dict[str, bool]]:
-    """Account features, their vectors with folds and split, and the columns used; built once per folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """Account features, their vectors with folds and split, and the columns used; built once per state of the folder."""
+    key = folder_state(spark, folder)
     if key not in _designs:
         p = plan(spark, folder)
         l = p.ledger
@@ -376,7 +386,9 @@ def gbt_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> D
 
 def gbt_categorical_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     train, test = both_parts(scoring.with_missing_flags(table, used))
-    trees = scoring.train_gbt_categorical(used, ["favorite_category", "favorite_sic_group"], len(BRANDS) + 1, RUN_PARAMS)
+    names = ["favorite_category", "favorite_sic_group"]
+    levels = table.agg(*[F.count_distinct(n).alias(n) for n in names]).first()
+    trees = scoring.train_gbt_categorical(used, names, max(levels) + 1, RUN_PARAMS)
     return scoring.score(trees.fit(train), test)
 
 

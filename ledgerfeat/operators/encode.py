@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfeat.operators.skew import distributed_ntile, row_numbers
-from ledgerfeat.operators.transactions import NULL_NAME, distinct_values
+from ledgerfeat.operators.transactions import distinct_values, value_labels
 
 
 def _label_order(df: DataFrame, label: str, seed: int | None) -> DataFrame:
@@ -77,18 +77,22 @@ def value_ntile(df: DataFrame, column: str, buckets: int = 10, name: str | None
     return known.unionByName(unknown)
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, Sequence[str | None]] | None = None) -> DataFrame:
     """0/1 columns for every level but the first of each column; other columns are kept.
 
-    NULL is the level "NA", the last one. Levels are read from the data unless given.
+    NULL (None) is a level of its own, the last one. Levels are read from the data unless given; a value outside the
+    given levels is an error when it is read, since it would look like the first level.
     """
     levels = dict(levels or {})
     dummies = []
     for c in columns:
         names = levels.get(c) or distinct_values(df, c)
-        ordered = sorted(n for n in names if n != NULL_NAME) + [n for n in names if n == NULL_NAME]
-        value = F.coalesce(F.col(c).cast("string"), F.lit(NULL_NAME))
-        dummies += [(value == n).cast("int").alias(f"{c}_{n}") for n in ordered[1:]]
+        ordered = sorted((n for n in names if n is not None)) + [None] * (None in names)
+        value = F.col(c).cast("string")
+        known = value.isin([n for n in ordered if n is not None]) | (value.isNull() if None in names else F.lit(False))
+        unseen = F.raise_error(F.concat(F.lit(f"level outside those of {c}: "), F.coalesce(value, F.lit("NULL"))))
+        dummies += [F.when(known, value.eqNullSafe(F.lit(n)).cast("int")).otherwise(unseen.cast("int")).alias(f"{c}_{label}")
+                    for n, label in list(zip(ordered, value_labels(ordered)))[1:]]
     return df.select(*[c for c in df.columns if c not in columns], *dummies)
 
 

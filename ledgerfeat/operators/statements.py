@@ -17,7 +17,6 @@ QUARTER_RANKS = {4: (1, 4), 3: (5, 7), 2: (8, 10), 1: (11, 14)}
 HALF_RANKS = {1: (1, 7), 2: (8, 14)}
 OVERFLOW = 5
 DAYS_AFTER_LAST = 30
-RANKS = tuple(range(1, 15))
 QUARTERS = (1, 2, 3, 4, OVERFLOW)
 HALVES = (1, 2, OVERFLOW)
 
@@ -157,10 +156,16 @@ def quarter_of(day: Column) -> Column:
     )
 
 
-def wide_series(df: DataFrame, columns: Sequence[str], ranks: Sequence[int] = RANKS) -> DataFrame:
-    """One column per series and statement rank, in a single aggregation."""
+def ranks_present(df: DataFrame) -> range:
+    """Every statement rank up to the longest account's last one (one number from the data)."""
+    return range(1, (df.agg(F.max("rank_from_last")).first()[0] or 0) + 1)
+
+
+def wide_series(df: DataFrame, columns: Sequence[str], ranks: Sequence[int] | None = None) -> DataFrame:
+    """One column per series and statement rank, in a single aggregation; all ranks present unless given."""
+    ranks = ranks_present(df) if ranks is None else ranks
     return widen(df, "account_id", "rank_from_last", ranks, columns, lambda m, r: f"{m}_t_minus_{r}")
 
 
-def wide_statement_features(enriched: DataFrame, ranks: Sequence[int] = RANKS) -> DataFrame:
+def wide_statement_features(enriched: DataFrame, ranks: Sequence[int] | None = None) -> DataFrame:
     return wide_series(enriched, ["credit_ratio", "balance_delta", "total_balance"], ranks)

@@ -116,13 +116,21 @@ def city_moves(quarter_favorites: DataFrame, column: str = "favorite_city") -> D
         "moves", F.col("moved_q2") + F.col("moved_q3") + F.col("moved_q4"))
 
 
-def distinct_values(df: DataFrame, column: str, at_most: int = 1000) -> list[str]:
-    """Values of a column as text (NULL as "NA"), for columns that become features."""
-    text = F.coalesce(F.col(column).cast("string"), F.lit(NULL_NAME)).alias("v")
+def distinct_values(df: DataFrame, column: str, at_most: int = 1000) -> list[str | None]:
+    """Values of a column as text, for columns that become features; NULL, if present, comes last as None."""
+    text = F.col(column).cast("string").alias("v")
     found = [r[0] for r in df.select(text).distinct().limit(at_most + 1).collect()]
     if len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} values; group it before making columns of it")
-    return sorted(found)
+    return sorted(found, key=lambda v: (v is None, v))
+
+
+def value_labels(values: Sequence[str | None]) -> list[str]:
+    """Names of the values in columns: NULL is "NA", with underscores added while that is a value as well."""
+    name = NULL_NAME
+    while name in values:
+        name += "_"
+    return [name if v is None else v for v in values]
 
 
 def share_of_total(profile: DataFrame, variable: str) -> DataFrame:
@@ -132,33 +140,35 @@ def share_of_total(profile: DataFrame, variable: str) -> DataFrame:
         "account_id", F.col("value").alias(variable), ratio("amount", total).alias("share"))
 
 
-def spend_shares(profile: DataFrame, values: dict[str, Sequence[str]],
+def spend_shares(profile: DataFrame, values: dict[str, Sequence[str | None]],
                  name: Callable[[str, str], str] = lambda variable, v: f"{variable}_pct_sum_{v}") -> DataFrame:
     """Share of the account's spending per variable and value, one column each, 0 without spending.
 
     Two aggregations by account over the profile: amounts pivoted over the given values, and the
-    totals, which also count values without a column.
+    totals, which also count values without a column. NULL (None) is a value of its own beside any text.
     """
     rows = profile.filter(F.col("variable").isin(list(values)))
     pairs = [(variable, v) for variable, names in values.items() for v in names]
-    keyed = rows.select("account_id", "amount", F.concat_ws(
-        "=", "variable", F.coalesce("value", F.lit(NULL_NAME))).alias("_key"))
-    spent = keyed.groupBy("account_id").pivot("_key", [f"{variable}={v}" for variable, v in pairs]).agg(
+    labels = [(variable, label) for variable, names in values.items() for label in value_labels(names)]
+    # concat_ws skips NULL: its key is the bare name of the variable.
+    keyed = rows.select("account_id", "amount", F.concat_ws("=", "variable", "value").alias("_key"))
+    keys = [variable if v is None else f"{variable}={v}" for variable, v in pairs]
+    spent = keyed.groupBy("account_id").pivot("_key", keys).agg(
         F.sum("amount")).toDF("account_id", *[f"_spent_{i}" for i in range(len(pairs))])
     totals = rows.groupBy("account_id").agg(*[
         F.expr(f"CAST(sum(CASE WHEN variable = '{v}' THEN amount END) AS DOUBLE) AS _total_{v}") for v in values])
     return spent.join(totals, "account_id").select("account_id", *[
         F.expr(f"try_divide(CAST(coalesce(_spent_{i}, 0) AS DOUBLE), _total_{variable})").alias(name(variable, v))
-        for i, (variable, v) in enumerate(pairs)
+        for i, (variable, v) in enumerate(labels)
     ])
 
 
-def spend_share(profile: DataFrame, variable: str, values: Sequence[str], prefix: str | None = None) -> DataFrame:
+def spend_share(profile: DataFrame, variable: str, values: Sequence[str | None], prefix: str | None = None) -> DataFrame:
     prefix = f"{variable}_pct_sum_" if prefix is None else prefix
     return spend_shares(profile, {variable: values}, lambda _, v: f"{prefix}{v}")
 
 
-def category_share(profile: DataFrame, values: Sequence[str]) -> DataFrame:
+def category_share(profile: DataFrame, values: Sequence[str | None]) -> DataFrame:
     return spend_share(profile, "txn_category", values, prefix="txn_category_pct_amount_")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 from multiprocessing.pool import ThreadPool
 from statistics import median
 
@@ -35,7 +36,7 @@ PATIENCE = 50
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Settings of the boosted trees. ``columns`` is sampled per node, ``gamma`` is an impurity gain."""
+    """Settings of the boosted trees. ``columns`` is sampled per node, ``gamma`` is a gain summed over all training rows."""
 
     eta: float = 0.02
     max_depth: int = 4
@@ -150,11 +151,16 @@ def net_inputs(table: DataFrame, vectors: DataFrame, names: Sequence[str], compo
 
 # Estimators ------------------------------------------------------------------------------------
 
-def train_gbt(params: BoostParams = BoostParams(), vector: str = VECTOR, max_bins: int = 32) -> GBTClassifier:
+def train_gbt(params: BoostParams = BoostParams(), vector: str = VECTOR, max_bins: int = 32,
+              rows: int | None = None) -> GBTClassifier:
+    """Boosted trees. A threshold on the gain needs the number of training ``rows``: Spark's gain is per row."""
+    if params.gamma and not rows:
+        raise ValueError("gamma is a sum over the training rows: give their number")
+    gain = params.gamma / rows if params.gamma else 0.0
     return GBTClassifier(
         labelCol=LABEL, featuresCol=vector, lossType="logistic", maxIter=params.rounds, maxDepth=params.max_depth,
         stepSize=params.eta, subsamplingRate=params.subsample, featureSubsetStrategy=str(params.columns),
-        minInstancesPerNode=params.min_child_weight, minInfoGain=params.gamma, seed=params.seed, maxBins=max_bins)
+        minInstancesPerNode=params.min_child_weight, minInfoGain=gain, seed=params.seed, maxBins=max_bins)
 
 
 def train_gbt_categorical(numeric: Mapping[str, bool], categorical: Sequence[str], max_levels: int,
@@ -272,8 +278,10 @@ def _best_round(losses: Sequence[float], patience: int) -> int:
 def best_iteration(params: BoostParams, df: DataFrame, folds: int, patience: int = PATIENCE,
                    parallelism: int = 4) -> int:
     """Rounds after which the hold-out loss stops improving: the median over folds, rounded down."""
+    rows = df.count() if params.gamma else None
+
     def best(k: int) -> int:
-        model = fit_fold(train_gbt(params), df, k)
+        model = fit_fold(train_gbt(params, rows=rows), df, k)
         return _best_round(model.evaluateEachIteration(df.filter(F.col("fold") == k)), patience)
     with ThreadPool(min(parallelism, folds)) as pool:
         return math.floor(median(pool.map(best, range(1, folds + 1))))
@@ -290,13 +298,17 @@ def cross_validate(estimator: Estimator, df: DataFrame, folds: int = 5, parallel
 
 
 def ensemble_mean(train: DataFrame, unlabelled: DataFrame, params: BoostParams, copies: int = 10,
-                  parallelism: int = 4, make: Callable[[BoostParams], Estimator] = train_gbt) -> DataFrame:
-    """Mean score of ``copies`` boosters that differ in their seed."""
+                  parallelism: int = 4, make: Callable[[BoostParams], Estimator] | None = None) -> DataFrame:
+    """Mean score of ``copies`` boosters that differ in their seed, in one pass over ``unlabelled``."""
+    if make is None:
+        rows = train.count() if params.gamma else None
+        make = partial(train_gbt, rows=rows)
     seeds = [replace(params, seed=params.seed + i) for i in range(copies)]
     with ThreadPool(min(parallelism, copies)) as pool:
         models = pool.map(lambda p: make(p).fit(train), seeds)
-    out = None
+    scored = unlabelled
     for i, model in enumerate(models):
-        part = score(model, unlabelled).withColumn("copy", F.lit(i + 1))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy(KEY).agg(F.avg(SCORE).alias(SCORE))
+        made = model.transform(scored)
+        scored = made.select(*scored.columns, vector_to_array("probability")[1].alias(f"_copy_{i}"))
+    mean = sum((F.col(f"_copy_{i}") for i in range(copies)), F.lit(0.0)) / copies
+    return scored.select(KEY, mean.alias(SCORE))

@@ -14,6 +14,10 @@ from ledgerfeat import schema
 from ledgerfeat.operators.skew import NONE, HotKeys, hot_keys
 
 
+# Fixed value: how missing values are written in the card files.
+NULL_CELL = "NA"
+
+
 @dataclass(frozen=True)
 class Ledger:
     """The four input tables, with the accounts too large for one task (usually none)."""
@@ -36,9 +40,13 @@ class Ledger:
 
 
 def read_csv_table(spark: SparkSession, path: str | Sequence[str], fields: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema (no inference pass over the data)."""
+    """CSV with a header and a declared schema (no inference pass over the data).
+
+    ``NA`` and empty cells are NULL. A cell that does not fit its type is an error when it is read.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(fields).option("header", True).csv(paths)
+    return (spark.read.schema(fields).option("header", True).option("nullValue", NULL_CELL)
+            .option("mode", "FAILFAST").csv(paths))
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -68,11 +68,19 @@ def test_shares_sum_to_one_and_diversity_is_bounded(spark):
 def test_null_category_keeps_its_share_and_name(spark):
     df = transactions(spark, [(1, DAY, 30, "5", None), (1, DAY, 10, "5", "A")])
     values = tx.distinct_values(df, "category")
-    assert values == ["A", "NA"]
+    assert values == ["A", None]
     row = tx.spend_share(tx.category_profile(df, ["category"]), "category", values).first()
     assert (row.category_pct_sum_A, row.category_pct_sum_NA) == (0.25, 0.75)
 
 
+def test_null_and_the_text_na_are_two_values(spark):
+    df = transactions(spark, [(1, DAY, 30, "5", None), (1, DAY, 10, "5", "NA")])
+    values = tx.distinct_values(df, "category")
+    assert values == ["NA", None]
+    row = tx.spend_share(tx.category_profile(df, ["category"]), "category", values).first()
+    assert (row["category_pct_sum_NA"], row["category_pct_sum_NA_"]) == (0.25, 0.75)
+
+
 def test_too_many_feature_columns_are_refused(spark):
     with pytest.raises(ValueError):
         tx.distinct_values(spark.range(20), "id", at_most=10)
