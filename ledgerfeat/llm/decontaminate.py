@@ -21,6 +21,8 @@ SPAN, SUBSTITUTIONS = 13, 2
 GROUPS = 4
 #: Bits of the filter that keeps document windows without any partner from being shuffled; its size is fixed.
 FILTER_BITS = 23
+#: Stands for a null item id while items are looked for.
+NO_ID = -(1 << 63)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 #: ASCII punctuation separates words; letters are lower-cased before.
 _PLAIN = bytes(32 if not (48 <= i <= 57 or 97 <= i <= 122 or i >= 128) else i for i in range(256))
@@ -119,7 +121,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     the different spans (at most ``SPAN``) and a filter of 2**FILTER_BITS bits, whatever the size of either table.
     """
     spark = docs.sparkSession
-    source = items.select(F.col(item_id_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
+    source = items.select(F.coalesce(F.col(item_id_col).cast("long"), F.lit(NO_ID)).alias("item"), F.col(item_text_col).alias("text"))
     seeds = source.mapInArrow(_item_batches, "item long, span int, hash long, held array<long>")
     spans = sorted(r["span"] for r in seeds.select("span").distinct().collect())
     table = np.zeros(1 << FILTER_BITS, bool)
@@ -137,7 +139,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     equal = "size(filter(zip_with(held, asked, (x, y) -> x = y), e -> e))"
     limits = F.array(*[F.lit(allowed(n)) for n in range(SPAN + 1)])
     pairs = (hits.join(tests, ["span", "hash"]).where(F.col("span") - F.expr(equal) <= F.get(limits, F.col("span"))))
-    return pairs.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return pairs.groupBy("key").agg(F.sort_array(F.collect_set(F.when(F.col("item") != NO_ID, F.col("item")))).alias("items"))
 
 
 def row_key(id_col: str, text_col: str):

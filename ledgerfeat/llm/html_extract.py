@@ -209,16 +209,17 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """``page_id``, ``url``, ``text`` and ``n_chars`` for every row of ``pages``.
 
     Blocks of text are joined by a blank line; character references are decoded and white space becomes one space.
-    A page without text, a null or an empty one gives an empty text. Null urls form one site. Repeated rows each count
-    as a page of the site and give equal texts. Other columns are not read. An empty table gives an empty table.
+    A page without text, a null or an empty one gives an empty text. Null urls form one site. Rows of one site that
+    repeat a page's markup count as one page of it and give equal texts. Other columns are not read. An empty table gives an empty table.
     """
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    source = source.withColumns({"page": F.xxhash64("page_id", "url", "html"), "host": host})
+    source = source.withColumns({"host": host}).withColumn("page", F.xxhash64("host", "html"))
     nodes = source.select("page", "host", "html").mapInArrow(
         _node_batches, "page long, host string, node long, prior double, blocks long, texts array<long>")
+    nodes = nodes.dropDuplicates(["page", "node"])  # the same page under several ids tells nothing about its site
     tree = style_tree(nodes)
-    low = (nodes.select("page", "host", "node", "prior").distinct().join(tree, ["host", "node"])
+    low = (nodes.select("page", "host", "node", "prior").join(tree, ["host", "node"])
            .where(F.col("prior") * PRIOR_SHARE + F.col("evidence") < LEAST_IMPORTANCE)
            .groupBy("page").agg(F.collect_set("node").alias("low")))  # nodes of one page
     return (source.join(low, "page", "left").select("page_id", "url", "html", "low")
