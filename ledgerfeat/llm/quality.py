@@ -20,7 +20,7 @@ from ledgerfeat.llm.subword import Words, ngram_buckets
 from ledgerfeat.llm.text import texts_of
 
 #: Bounds of the training sample: documents, and (document, bucket) entries held in memory.
-TRAIN_ROWS, TRAIN_ENTRIES = 8_000, 24_000_000
+TRAIN_ROWS, TRAIN_ENTRIES = 5_000, 12_000_000
 BITS, DIMENSIONS = 16, 8
 ORDERS = (3, 5)
 EPOCHS, BATCH, RATE = 6, 64, 0.5

@@ -22,7 +22,7 @@ from ledgerfeat.llm.subword import Words
 from ledgerfeat.llm.text import texts_of
 
 #: Bounds of the training sample: documents, and (word, bucket) entries held in memory.
-TRAIN_ROWS, TRAIN_ENTRIES = 8_000, 40_000_000
+TRAIN_ROWS, TRAIN_ENTRIES = 4_000, 20_000_000
 BITS = 18
 ORDERS = (3, 4, 5)
 EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.3, 1e-6
