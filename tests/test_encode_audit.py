@@ -64,6 +64,19 @@ def test_one_hot_drops_the_first_level_and_keeps_null(spark):
     assert rows_of(out) == [(1, 0, 0), (2, 1, 0), (3, 0, 1)]
 
 
+def test_one_hot_keeps_null_apart_from_the_text_na(spark):
+    df = spark.createDataFrame([(1, "A"), (2, "NA"), (3, None)], "account_id long, c string")
+    out = encode.one_hot(df, ["c"])
+    assert out.columns == ["account_id", "c_NA", "c_NA_"]
+    assert rows_of(out) == [(1, 0, 0), (2, 1, 0), (3, 0, 1)]
+
+
+def test_one_hot_refuses_values_outside_given_levels(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "z")], "account_id long, c string")
+    with pytest.raises(Exception, match="level outside those of c: z"):
+        encode.one_hot(df, ["c"], {"c": ["a", "b"]}).collect()
+
+
 def test_scaling_leaves_narrow_columns(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 1.0), (3, 20.0, 1.0)], "account_id long, a double, b double")
     assert rows_of(encode.zscore_wide_columns(df, ["a", "b"])) == [(1, -1.0, 0.0), (2, 0.0, 1.0), (3, 1.0, 1.0)]

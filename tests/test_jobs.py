@@ -160,6 +160,26 @@ def test_linear_net_and_category_models(vectors):
     assert scoring.pca_features(made, 2).columns == ["account_id", "component_1", "component_2"]
 
 
+def test_csv_missing_and_malformed_cells(spark, tmp_path):
+    fields = "account_id long, amount double, country string"
+    (tmp_path / "good.csv").write_text("account_id,amount,country\n1,NA,NA\n2,3.5,CA\n3,,\n")
+    schema_ = spark.createDataFrame([], fields).schema
+    rows = readers.read_csv_table(spark, f"{tmp_path}/good.csv", schema_).orderBy("account_id").collect()
+    assert [tuple(r) for r in rows] == [(1, None, None), (2, 3.5, "CA"), (3, None, None)]
+    (tmp_path / "bad.csv").write_text("account_id,amount,country\n1,bad,CA\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv_table(spark, f"{tmp_path}/bad.csv", schema_).collect()
+
+
+def test_gain_threshold_leaves_splits(vectors):
+    train, _ = encode.split_by_label_presence(vectors[1])
+    params = scoring.BoostParams(eta=0.1, max_depth=3, gamma=7.66, rounds=3)
+    with pytest.raises(ValueError):
+        scoring.train_gbt(params)
+    model = scoring.train_gbt(params, rows=train.count()).fit(train)
+    assert all(t.numNodes > 1 for t in model.trees)
+
+
 def test_search_ranks_sets_and_ensemble_averages(vectors):
     train, test = encode.split_by_label_presence(vectors[1])
     sets = [PARAMS, scoring.BoostParams(eta=0.01, max_depth=1, gamma=10.0, rounds=2)]
