@@ -185,7 +185,8 @@ def test_search_ranks_sets_and_ensemble_averages(vectors):
     sets = [PARAMS, scoring.BoostParams(eta=0.01, max_depth=1, gamma=10.0, rounds=2)]
     results, predictions = search.search(train, sets, 3, find_rounds=False)
     rows = results.collect()
-    assert [r.set_id for r in rows] == [1, 2] and rows[0].auc > rows[1].auc
+    # A drawn threshold must leave trees that separate what can be separated.
+    assert [r.set_id for r in rows] == [1, 2] and rows[0].auc >= rows[1].auc > 0.9
     assert predictions.count() == 2 * train.count()
     assert search.best_params(results) == [PARAMS]
     assert sum(r.n_sets for r in search.search_response(results, "eta", 0.0, 0.5).collect()) == 2
