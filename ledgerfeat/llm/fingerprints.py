@@ -75,8 +75,10 @@ def _ranges(ids: DataFrame, parts: int) -> tuple[Column, list[int | None], list[
     limits = ids.agg(F.percentile_approx("doc_id", shares, 10 * parts).alias("x")).first()["x"] or []
     limits = sorted(set(limits), reverse=True)
     borders = F.array(*[F.lit(x) for x in limits]).cast("array<bigint>")
-    number = (F.when(F.col("doc_id").isNull(), len(limits) + 1)
-              .otherwise(F.size(F.filter(borders, lambda b: b > F.col("doc_id")))))
+    # Binary search in the falling limits: the number of those above the id, by powers of two.
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(limits).bit_length())))])
+    above = F.aggregate(powers, F.lit(0), lambda n, p: F.when(F.get(borders, n + p - 1) > F.col("doc_id"), n + p).otherwise(n))
+    number = F.when(F.col("doc_id").isNull(), len(limits) + 1).otherwise(above)
     firsts = {r["range"]: r["first"] for r in
               ids.groupBy(number.alias("range")).agg(F.max("doc_id").alias("first")).collect()}
     filled = sorted(firsts)
