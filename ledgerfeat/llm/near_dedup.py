@@ -30,6 +30,9 @@ SHINGLE_WORDS = 5
 SKETCH = 48
 #: Chance that a pair exactly at the similarity shares fewer retained values than `least_overlap`.
 MISS = 1e-9
+#: Values in the sketches of the last round; sets with a smaller union are compared whole there. Halves of hashes may meet
+#: by chance, which the slack makes good.
+WIDE, HALF_SLACK = 256, 2
 #: How often classes that cannot be in a link are left out before pairs are met.
 OWN_PASSES = 2
 
@@ -94,6 +97,13 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
             names=["id", "shingles", "halves"]).filter(pa.array(own, pa.bool_()))
 
 
+def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        # Signed numbers in the order of the unsigned ones.
+        wide = [(np.frombuffer(h.as_buffer(), np.uint32)[:WIDE] ^ np.uint32(1 << 31)).view(np.int32) for h in batch.column("halves")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(wide, pa.list_(pa.int32()))], names=["id", "wide"])
+
+
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]
@@ -141,13 +151,17 @@ class _Verifier:
         involved = texts.join(members.select("id", "digest", F.col("least").alias("doc")), "doc")
         self.sets = pin(involved.select("id", "digest", "text").mapInArrow(lambda it: _set_batches(it, width), "id long, shingles binary, halves binary"))
 
-    def estimate(self) -> str:
-        """Condition on sketches ``sa`` and ``sb``: shared values among the smallest of the union."""
-        union = f"slice(sort_array(array_union(sa, sb)), 1, {self.sketch})"
-        bound = least_overlap(self.sketch, self.percent)
-        return (f"size(array_intersect({union}, array_intersect(sa, sb))) >= "
-                f"CASE WHEN size(array_union(sa, sb)) < {self.sketch} "
-                f"THEN ceil({self.percent} * size(array_union(sa, sb)) / 100) ELSE {bound} END")
+    def estimate(self, kept: int = 0, slack: int = 0) -> str:
+        """Condition on sketches ``sa`` and ``sb`` of ``kept`` values: shared ones among the smallest of the union."""
+        kept = kept or self.sketch
+        union = f"slice(sort_array(array_union(sa, sb)), 1, {kept})"
+        return (f"size(array_intersect({union}, array_intersect(sa, sb))) + {slack} >= "
+                f"CASE WHEN size(array_union(sa, sb)) < {kept} "
+                f"THEN ceil({self.percent} * size(array_union(sa, sb)) / 100) ELSE {least_overlap(kept, self.percent)} END")
+
+    def wide_sketches(self, ids: DataFrame) -> DataFrame:
+        """``id`` and its ``WIDE`` smallest hashes, shortened to their upper halves (order is kept)."""
+        return self.sets.join(ids, "id", "left_semi").select("id", "halves").mapInArrow(_wide_batches, "id long, wide array<int>")
 
     def close(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the union sketch does not rule out."""
@@ -214,14 +228,15 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
         own = check.own_shingles(able_ids.select("id"))
         able_ids = pin(able_ids.select("id", "n").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
                        .where(f"100 * (n - own) >= {percent} * n"))
-    able = (open_rows.join(able_ids.select("id", "own"), "id").join(listed.select("id", "sketch"), "id"))
+    able = (open_rows.join(able_ids.select("id", "own"), "id")
+            .join(check.wide_sketches(able_ids.select("id")).withColumnRenamed("wide", "sketch"), "id"))
     left = able.select("value", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"),
                        F.col("sketch").alias("sa"), (F.col("n") - F.col("own")).alias("ma"), F.col("listed").alias("la"))
     right = able.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"),
                         F.col("sketch").alias("sb"), (F.col("n") - F.col("own")).alias("mb"), F.col("listed").alias("lb"))
     possible = f"(100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)"
     first_meeting = "array_min(array_intersect(la, lb)) = value"
-    pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {possible} AND {first_meeting} AND {check.estimate()}")
+    pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {possible} AND {first_meeting} AND {check.estimate(WIDE, HALF_SLACK)}")
              .select("a", "b"))
     links = links.unionByName(pin(check.verified(pairs)))
 
