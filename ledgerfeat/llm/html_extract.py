@@ -81,6 +81,9 @@ def _open(tag: str, attributes: str, parent: _Element) -> _Element:
         elif tag in MAIN_TAGS or "main" in named and "role" in attributes.lower():
             prior = MAIN
     label = f"{tag}.{'.'.join(sorted(set(words)))}" if words else tag
+    # Attributes outside the label change the prior too; blocks of different priors are different nodes.
+    if prior != parent.prior:
+        label += "!around" if prior == AROUND else "!main"
     return _Element(tag, f"{parent.path}>{label}", prior)
 
 

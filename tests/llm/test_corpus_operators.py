@@ -357,6 +357,20 @@ def test_style_tree_finds_what_all_pages_share(spark):
     assert {r["page_id"]: r["text"] for r in found} == {i: " ".join(words(30, i)) for i in range(30)}
 
 
+def test_hidden_elements_take_no_siblings_along(spark):
+    pairs = [("<p hidden>gone</p>", "<p>text</p>"), ("<div style='display:none'>gone</div>", "<div>text</div>"),
+             ("<div hidden><p>gone</p></div>", "<div><p>text</p></div>"), ("<p aria-hidden='true'>gone</p>", "<p>text</p>"),
+             ("<span hidden>gone</span>", "<span>text</span>")]
+    rows = []
+    for hidden, shown in pairs:
+        for body in (hidden + shown, shown + hidden):
+            for around in ("{}", "<article><h1>Head</h1>{}</article>"):
+                rows.append((len(rows), f"http://h{len(rows)}.org/", around.format(body)))
+    rows.append((len(rows), "http://roles.org/", "<div class='main'>gone</div><div role='main'>text</div>"))
+    found = html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: "Head\n\ntext" if "Head" in page else "text" for i, _, page in rows}
+
+
 def test_deep_and_broken_markup():
     blocks = html_extract.page_blocks("<div>" * 3000 + "deep" + "</div>" * 10 + "<p a='unclosed>x")
     assert blocks[0][2] == "deep"
