@@ -4,7 +4,9 @@ The pages of one host are merged into a style tree: a node is the chain of block
 For every node the entropy over the host's pages of its presentation (how many blocks a page has there) and of its
 content (how evenly a text is spread over the pages) gives its importance: what is the same on every page tells nothing.
 Markup that names its own role (``nav``, ``footer``, ``article``, class ``ad`` ...) enters as the node's prior, because
-menus and adverts often differ from page to page. Branches of low importance leave each page; the rest is its text.
+menus and adverts often differ from page to page. A site of several pages can overrule it: a node that holds most of its pages' text, new
+on each page, stays whatever its name, and one that says the same everywhere goes. Branches of low importance leave each
+page; the rest is its text.
 """
 
 from __future__ import annotations
@@ -23,7 +25,12 @@ from ledgerfeat.llm.text import texts_of
 #: Shares of the prior, the presentation and the content in a node's importance, and the least importance to stay.
 PRIOR_SHARE, PRESENTATION_SHARE, CONTENT_SHARE = 0.6, 0.08, 0.32
 LEAST_IMPORTANCE = 0.5
-MAIN, NEUTRAL, AROUND = 1.0, 0.5, 0.0
+#: What no reader sees is below what stands around; no evidence brings it back.
+MAIN, NEUTRAL, AROUND, UNSEEN = 1.0, 0.5, 0.0, -1.0
+#: Evidence of so many pages can overrule a prior: texts new (or the same) on all pages but this share, in nodes that hold
+#: at least (or less than) this many thousandths of their pages' text, move the importance by so much.
+SURE_PAGES, SURE_SHARE, LARGE_PART = 4, 0.1, 500
+RAISED, LOWERED = 0.5, 0.4
 
 # Element names of HTML by their use.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -41,6 +48,8 @@ subscribe subscription signup login search searchbox comment comments commentlis
 contentinfo complementary masthead topbar toolbar hidden""".split())
 #: Words that count only outside the main branch: an article has a header of its own.
 PAGE_WORDS = frozenset("header head top bottom banner".split())
+#: A class name that begins so tells what a layout has, not what the element is (has-sidebar, no-header).
+LAYOUT_WORDS = frozenset("has with without no".split())
 #: A start tag ends an open element of the same group: (starting, ended, not beyond).
 P_ENDERS = BLOCKS - {"html", "body"}
 CLOSES = {
@@ -59,32 +68,48 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "prior")
+    """``outer`` is the prior that an article inside returns to: that outside the branch where only a name or a form rules it."""
 
-    def __init__(self, tag: str, path: str, prior: float) -> None:
-        self.tag, self.path, self.prior = tag, path, prior
+    __slots__ = ("tag", "path", "prior", "outer")
+
+    def __init__(self, tag: str, path: str, prior: float, outer: float) -> None:
+        self.tag, self.path, self.prior, self.outer = tag, path, prior, outer
+
+
+_MARKS = {MAIN: "!main", NEUTRAL: "!neutral", AROUND: "!around", UNSEEN: "!unseen"}
 
 
 def _open(tag: str, attributes: str, parent: _Element) -> _Element:
     words: list[str] = []
+    named: set[str] = set()
     if "=" in attributes:
         for m in NAMES.finditer(attributes):
-            words += WORDS.findall((m[2] or m[3] or m[4] or "").lower())
-    prior = parent.prior
-    if prior != AROUND:
-        named = set(words)
-        inside = prior == MAIN
-        if tag in AROUND_TAGS or named & AROUND_WORDS or (attributes and HIDDEN.search(attributes)):
-            prior = AROUND
-        elif not inside and (tag == "header" or named & PAGE_WORDS):
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                found = WORDS.findall(name)
+                words += found
+                if found and found[0] not in LAYOUT_WORDS and tag not in ("html", "body"):
+                    named.update(found)
+    prior, outer = parent.prior, parent.outer
+    if prior != UNSEEN:
+        main = tag == "main" or "main" in named and "role" in attributes.lower()
+        around = bool(named & AROUND_WORDS) or tag in ("form", "fieldset")
+        if attributes and HIDDEN.search(attributes):
+            prior = outer = UNSEEN
+        elif prior == AROUND:
+            if main and not around:
+                prior = outer = MAIN
+            elif tag == "article" and not around:
+                prior = outer
+        elif tag in AROUND_TAGS or around or prior != MAIN and (tag == "header" or named & PAGE_WORDS):
             prior = AROUND
-        elif tag in MAIN_TAGS or "main" in named and "role" in attributes.lower():
-            prior = MAIN
+            outer = AROUND if tag in AROUND_TAGS and tag not in ("form", "fieldset") else outer
+        elif main or tag in MAIN_TAGS:
+            prior = outer = MAIN
     label = f"{tag}.{'.'.join(sorted(set(words)))}" if words else tag
     # Attributes outside the label change the prior too; blocks of different priors are different nodes.
     if prior != parent.prior:
-        label += "!around" if prior == AROUND else "!main"
-    return _Element(tag, f"{parent.path}>{label}", prior)
+        label += _MARKS[prior]
+    return _Element(tag, f"{parent.path}>{label}", prior, outer)
 
 
 def page_blocks(page: str) -> list[tuple[str, float, str]]:
@@ -93,7 +118,7 @@ def page_blocks(page: str) -> list[tuple[str, float, str]]:
     Unclosed and stray tags are repaired as far as block structure goes; a tag cut off at the end is no text. Scripts,
     styles and form controls hold no text. Where a page has a main branch with text, the rest stands around it.
     """
-    root = _Element("", "", NEUTRAL)
+    root = _Element("", "", NEUTRAL, NEUTRAL)
     stack, blocks, parts, at = [root], [], [], 0
 
     def flush() -> None:
@@ -140,14 +165,14 @@ def page_blocks(page: str) -> list[tuple[str, float, str]]:
                     close({tag}, set())
             elif "=" in attributes or "hidden" in attributes:
                 found = _open(tag, attributes, stack[-1])
-                if found.prior == AROUND != stack[-1].prior:
+                if found.prior <= AROUND and found.prior != stack[-1].prior:
                     flush()
                     stack.append(found)
     if at < len(page):
         parts.append(page[at:])
     flush()
     if any(prior == MAIN for _, prior, _ in blocks):
-        blocks = [b if b[1] == MAIN else (b[0], AROUND, b[2]) for b in blocks]
+        blocks = [b if b[1] == MAIN else (b[0], min(b[1], AROUND), b[2]) for b in blocks]
     return blocks
 
 
@@ -161,14 +186,18 @@ def _node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for page, host, text in zip(batch.column("page").to_pylist(), batch.column("host").to_pylist(), texts_of(batch, "html")):
             nodes: dict[str, list] = {}
             for path, prior, block in page_blocks(text):
-                nodes.setdefault(path, [prior, []])[1].append(_key(block))
-            rows += [(page, host, _key(p), prior, len(texts), sorted(set(texts))) for p, (prior, texts) in nodes.items()]
+                node = nodes.setdefault(path, [prior, [], 0])
+                node[1].append(_key(block))
+                node[2] += len(block)
+            size = sum(n[2] for n in nodes.values())
+            rows += [(page, host, _key(p), prior, len(texts), sorted(set(texts)), 1000 * chars // size)
+                     for p, (prior, texts, chars) in nodes.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(zip(*rows), _NODE_TYPES)] if rows else [pa.array([], t) for t in _NODE_TYPES],
-            names=["page", "host", "node", "prior", "blocks", "texts"])
+            names=["page", "host", "node", "prior", "blocks", "texts", "part"])
 
 
-_NODE_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.int64())]
+_NODE_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +217,12 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """``importance`` of each (host, node) from rows (page, host, node, prior, blocks, texts).
+    """``evidence`` of each (host, node) from rows (page, host, node, prior, blocks, texts, part).
 
     Entropies are to the base of the number of pages that have the node, so 0 to 1; a node on one page counts as telling.
+    ``part`` is the node's part of its page's text in thousandths.
     """
-    pages = nodes.groupBy("host", "node").agg(F.count("*").alias("pages"))
+    pages = nodes.groupBy("host", "node").agg(F.count("*").alias("pages"), (F.sum("part") / F.count("*")).alias("part"))
     # Presentation: spread of the number of blocks. One row per host, node and number after the first step.
     shapes = nodes.groupBy("host", "node", "blocks").agg(F.count("*").alias("n"))
     shapes = shapes.groupBy("host", "node").agg(F.sum(F.col("n") * F.ln("n")).alias("nlogn"), F.sum("n").alias("total"))
@@ -203,8 +233,12 @@ def style_tree(nodes: DataFrame) -> DataFrame:
     joined = pages.join(shapes, ["host", "node"]).join(texts, ["host", "node"])
     base = F.ln(F.greatest("pages", F.lit(2)))
     many = F.col("pages") > 1
+    content = F.when(many, 1.0 - F.col("spread") / base).otherwise(1.0)
     evidence = (F.lit(PRESENTATION_SHARE) * F.when(many, F.col("presentation") / base).otherwise(1.0)
-                + F.lit(CONTENT_SHARE) * F.when(many, 1.0 - F.col("spread") / base).otherwise(1.0))
+                + F.lit(CONTENT_SHARE) * content)
+    sure, large = F.col("pages") >= SURE_PAGES, F.col("part") >= LARGE_PART
+    evidence = evidence + (F.when(sure & large & (content >= 1 - SURE_SHARE), RAISED)
+                           .when(sure & ~large & (content <= SURE_SHARE), -LOWERED).otherwise(0.0))
     return joined.select("host", "node", evidence.alias("evidence"))
 
 
@@ -217,9 +251,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    source = source.withColumns({"host": host}).withColumn("page", F.xxhash64("host", "html"))
+    source = source.withColumn("host", F.xxhash64(host)).withColumn("page", F.xxhash64("host", "html"))
     nodes = source.select("page", "host", "html").mapInArrow(
-        _node_batches, "page long, host string, node long, prior double, blocks long, texts array<long>")
+        _node_batches, "page long, host long, node long, prior double, blocks long, texts array<long>, part long")
     nodes = nodes.dropDuplicates(["page", "node"])  # the same page under several ids tells nothing about its site
     tree = style_tree(nodes)
     low = (nodes.select("page", "host", "node", "prior").join(tree, ["host", "node"])

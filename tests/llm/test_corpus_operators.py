@@ -371,6 +371,41 @@ def test_hidden_elements_take_no_siblings_along(spark):
     assert {r["page_id"]: r["text"] for r in found} == {i: "Head\n\ntext" if "Head" in page else "text" for i, _, page in rows}
 
 
+def test_sites_overrule_names(spark):
+    def body(i):
+        return " ".join(words(30, 900 + i))
+
+    sites = {  # body of a page and whether its second text, the same on all pages, stays
+        "name": lambda i: f"<div class='banner'><p>{body(i)}</p></div><div class='x'>Stay</div>",
+        "form": lambda i: f"<form><div>{body(i)}</div></form><div class='x'>Stay</div>",
+        "teaser": lambda i: f"<div class='text'>{body(i)}</div><article>Stay</article>",
+        "main": lambda i: f"<article><p>{body(i)}</p><h2>Stay</h2></article>",
+        "unseen": lambda i: f"<div hidden>{body(i)} {body(i + 100)}</div><p>{body(i)}</p>"}
+    rows = [(n * 100 + i, f"http://{name}.org/{i}", page(i)) for n, (name, page) in enumerate(sites.items()) for i in range(12)]
+    # Too few pages to overrule a name, and one article on two pages.
+    rows += [(1000 + i, f"http://few.org/{i}", f"<nav><p>{body(i)}</p></nav><p>Stay</p>") for i in range(1)]
+    rows += [(1100 + i, f"http://same.org/{i}", f"<i>{i}</i><article>{body(7)}</article>") for i in range(12)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(len(sites)):
+        assert all(found[n * 100 + i] == body(i) for i in range(12)), n
+    assert found[1000] == "Stay" and {found[1100 + i] for i in range(12)} == {body(7)}
+
+
+def test_main_branches_reset_what_stands_around():
+    def priors(page):
+        return {t: p for _, p, t in html_extract.page_blocks(page)}
+
+    assert priors("<body class='has-sidebar'><div>x</div></body>")["x"] == html_extract.NEUTRAL
+    assert priors("<div class='with-sidebar'><div>x</div></div>")["x"] == html_extract.NEUTRAL
+    assert priors("<form><main>x</main><p>y</p></form>") == {"x": html_extract.MAIN, "y": html_extract.AROUND}
+    assert priors("<div class='share'><article>x</article>y</div>") == {"x": html_extract.NEUTRAL, "y": html_extract.AROUND}
+    assert priors("<article>h<div class='widget'><article>x</article>y</div></article>") == {
+        "h": html_extract.MAIN, "x": html_extract.MAIN, "y": html_extract.AROUND}
+    assert priors("<aside><article>x</article></aside>")["x"] == html_extract.AROUND
+    assert priors("<div hidden><main>x</main></div>")["x"] == html_extract.UNSEEN
+
+
 def test_deep_and_broken_markup():
     blocks = html_extract.page_blocks("<div>" * 3000 + "deep" + "</div>" * 10 + "<p a='unclosed>x")
     assert blocks[0][2] == "deep"
