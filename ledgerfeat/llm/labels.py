@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+from collections.abc import Callable, Sequence
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +15,40 @@ from ledgerfeat.llm.text import id_bucket
 FOLDS, HELD_OUT = 4, 2
 
 
+class Spool:
+    """Arrays in an unnamed temporary file of the driver, so that a sample of long texts takes disk and no memory."""
+
+    def __init__(self) -> None:
+        self._file, self._end = tempfile.TemporaryFile(), 0
+
+    def add(self, *parts: bytes) -> tuple[int, ...]:
+        """Place of the parts: where they begin and end."""
+        bounds = [self._end]
+        for part in parts:
+            self._file.write(part)
+            bounds.append(bounds[-1] + len(part))
+        self._end = bounds[-1]
+        return tuple(bounds)
+
+    def read(self, place: tuple[int, ...], *types: type) -> list[np.ndarray]:
+        self._file.flush()
+        data = os.pread(self._file.fileno(), place[-1] - place[0], place[0])
+        return [np.frombuffer(data[a - place[0]:b - place[0]], t) for a, b, t in zip(place, place[1:], types)]
+
+
+class Stored(Sequence):
+    """The items of a list, each read when it is asked for."""
+
+    def __init__(self, items: list, read: Callable) -> None:
+        self._items, self._read = items, read
+
+    def __len__(self) -> int:
+        return len(self._items)
+
+    def __getitem__(self, at: int):
+        return self._read(self._items[at])
+
+
 def held_out(id_col: str = "doc_id"):
     """True for documents whose labels are never learned from; a null id is held out."""
     return F.coalesce(id_bucket(F.col(id_col), FOLDS) == HELD_OUT, F.lit(True))

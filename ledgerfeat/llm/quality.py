@@ -7,7 +7,7 @@ stochastic gradient descent in numpy on a bounded sample of labelled documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +19,8 @@ from ledgerfeat.llm import labels as labelled
 from ledgerfeat.llm.subword import Words, ngram_buckets
 from ledgerfeat.llm.text import texts_of
 
-#: Bounds of the training sample: documents, and (document, bucket) entries held in memory.
-TRAIN_ROWS, TRAIN_ENTRIES = 5_000, 12_000_000
+#: The only bound of the training sample: documents.
+TRAIN_ROWS = 5_000
 BITS, DIMENSIONS = 16, 8
 ORDERS = (3, 5)
 EPOCHS, BATCH, RATE = 6, 64, 0.5
@@ -61,7 +61,7 @@ class QualityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(value, -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 5) -> QualityModel:
+def fit(rows: Sequence[tuple[np.ndarray, np.ndarray, int]], seed: int = 5) -> QualityModel:
     """Vectors, output weights and bias by gradient descent with a rate that falls to zero.
 
     Without rows, or with one class only, the model answers with the share of class 1 (0.5 without rows).
@@ -84,9 +84,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 5) -> Qualit
             picked = order[at:at + BATCH]
             rate = RATE * (1 - step / steps)
             step += 1
-            keys = np.concatenate([rows[i][0] for i in picked])
-            shares = np.concatenate([rows[i][1] for i in picked])
-            owner = np.repeat(np.arange(len(picked)), [len(rows[i][0]) for i in picked])
+            batch = [rows[i] for i in picked]
+            keys = np.concatenate([r[0] for r in batch])
+            shares = np.concatenate([r[1] for r in batch])
+            owner = np.repeat(np.arange(len(picked)), [len(r[0]) for r in batch])
             entries = vectors[keys] * shares[:, None]
             mean = np.stack([np.bincount(owner, entries[:, d], len(picked)) for d in range(DIMENSIONS)], axis=1)
             logits = mean @ output + bias
@@ -108,17 +109,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 5) -> Qualit
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           rows: int = TRAIN_ROWS) -> QualityModel:
-    """Fits on at most ``rows`` labelled documents; their hashed counts, bounded by ``TRAIN_ENTRIES``, come to the driver."""
+    """Fits on at most ``rows`` labelled documents; their hashed counts come to a temporary file of the driver."""
     sample = labelled.training_sample(docs, labels, label, rows, id_col, text_col)
     entries = sample.mapInArrow(_entry_batches, "id long, label int, keys binary, shares binary")
-    found, held = [], 0
-    for r in entries.toLocalIterator():
-        keys = np.frombuffer(r["keys"], np.int32)
-        held += len(keys)
-        if held > TRAIN_ENTRIES:
-            break
-        found.append((r["id"], keys, np.frombuffer(r["shares"], np.float32), r["label"]))
-    return fit([row[1:] for row in sorted(found, key=lambda row: row[0])])
+    spool = labelled.Spool()
+    found = [(r["id"], spool.add(r["keys"], r["shares"]), r["label"]) for r in entries.toLocalIterator()]
+    found.sort(key=lambda row: row[0])
+    return fit(labelled.Stored(found, lambda row: (*spool.read(row[1], np.int32, np.float32), row[2])))
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], model: QualityModel) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ the difference between the two scores is penalised: a mention of one group must
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +21,8 @@ from ledgerfeat.llm import labels as labelled
 from ledgerfeat.llm.subword import Words
 from ledgerfeat.llm.text import texts_of
 
-#: Bounds of the training sample: documents, and (word, bucket) entries held in memory.
-TRAIN_ROWS, TRAIN_ENTRIES = 4_000, 20_000_000
+#: The only bound of the training sample: documents.
+TRAIN_ROWS = 4_000
 BITS = 18
 ORDERS = (3, 4, 5)
 EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.3, 1e-6
@@ -122,7 +122,7 @@ class ToxicityModel:
 Sample = tuple[np.ndarray, np.ndarray, int]
 
 
-def fit(texts: list[Sample], pairs: list[tuple[Sample, Sample]], seed: int = 3) -> ToxicityModel:
+def fit(texts: Sequence[Sample], pairs: Sequence[tuple[Sample, Sample]], seed: int = 3) -> ToxicityModel:
     """Weights by stochastic gradient descent on the noisy-or likelihood plus the penalty on swapped pairs.
 
     Without texts the model calls nothing toxic.
@@ -170,26 +170,27 @@ def fit(texts: list[Sample], pairs: list[tuple[Sample, Sample]], seed: int = 3)
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           rows: int = TRAIN_ROWS, terms: tuple[str, ...] = IDENTITY_TERMS) -> ToxicityModel:
-    """Fits on at most ``rows`` labelled documents; their hashed words, bounded by ``TRAIN_ENTRIES``, come to the driver."""
+    """Fits on at most ``rows`` labelled documents; their hashed words come to a temporary file of the driver."""
     table = term_table(terms)
     sample = labelled.training_sample(docs, labels, label, rows, id_col, text_col)
     entries = sample.mapInArrow(lambda it: _entry_batches(it, table),
                                 "id long, label int, part int, counts binary, buckets binary")
-    found, held = [], 0
+    spool, found = labelled.Spool(), []
     for r in entries.toLocalIterator():
-        counts, buckets = np.frombuffer(r["counts"], np.int32), np.frombuffer(r["buckets"], np.int32)
-        held += len(buckets)
-        if held > TRAIN_ENTRIES:
-            break
-        if len(counts):
-            found.append((r["id"], r["part"], (counts, buckets, r["label"])))
+        if r["counts"]:
+            found.append((r["id"], r["part"], (spool.add(r["counts"], r["buckets"]), r["label"])))
     texts = [s for _, part, s in sorted(found, key=lambda f: f[:2]) if part == 0]
-    sides: dict[tuple[int, int], list[Sample]] = {}
+    sides: dict[tuple[int, int], list[tuple]] = {}
     for key, part, s in found:
         if part:
             sides.setdefault((key, part), []).append(s)
     pairs = [(v[0], v[1]) for _, v in sorted(sides.items(), key=lambda kv: kv[0]) if len(v) == 2]
-    return fit(texts, pairs)
+
+    def read(stored: tuple) -> Sample:
+        counts, buckets = spool.read(stored[0], np.int32, np.int32)
+        return counts, buckets, stored[1]
+
+    return fit(labelled.Stored(texts, read), labelled.Stored(pairs, lambda pair: (read(pair[0]), read(pair[1]))))
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:

@@ -470,6 +470,20 @@ def test_classifiers_on_held_out_documents(spark):
             assert r["held_out"] == (r["doc_id"] is None or zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
 
 
+def test_classifiers_learn_from_all_partitions(spark, monkeypatch):
+    """Every drawn document is learned from, however much text lies before it in the files."""
+    rows = [(i, " ".join(words(2_000, 7_000 + i, 3000)), "a") for i in range(24)]
+    table = docs(spark, rows).repartitionByRange(6, "doc_id")
+    marks = spark.createDataFrame([(i, int(i >= 12), int(i >= 12)) for i in range(24)], "doc_id long, quality int, toxic int")
+    drawn = sorted(i for i in range(24) if zlib.crc32(str(i).encode()) % 4 != 2)
+    for module in (quality, toxicity):
+        monkeypatch.setattr(module, "TRAIN_ENTRIES", 20_000, raising=False)
+        seen = []
+        monkeypatch.setattr(module, "fit", lambda texts, *_, seen=seen: seen.append([(*map(len, t[:2]), t[2]) for t in texts]))
+        module.train(table, marks)
+        assert [t[2] for t in seen[0]] == [int(i >= 12) for i in drawn] and all(min(t[:2]) > 500 for t in seen[0])
+
+
 def test_classifiers_without_labels_or_rows(spark):
     table, marks, _ = labelled_docs(spark, 20, 62)
     for module, score in ((quality, quality.score_quality), (toxicity, toxicity.score_toxicity)):
