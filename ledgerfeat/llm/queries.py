@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, decontaminate, fingerprints, html_extract, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
+from ledgerfeat.llm import chat_format, collocations, decontaminate, fingerprints, html_extract, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,11 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases of two and three words that stand together more often than their parts, for every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DEDUP_SQL = rf"""
@@ -174,6 +179,36 @@ SELECT doc_id, size, source_size, target,
   (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM ordered
 """
 
+COLLOCATION_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+  UNION ALL SELECT lang, 2, unnest([array_to_string(w[i:i + 1], ' ') FOR i IN range(1, len(w))]) FROM words
+  UNION ALL SELECT lang, 3, unnest([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) FROM words),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.k AS cut, l.f AS l, r.f AS r, 1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) x(k) ON x.k < c.k
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:x.k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[x.k + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3)
+  GROUP BY lang, phrase),
+kept AS (
+  SELECT o.* FROM lowest o LEFT JOIN inner_phrases i ON i.lang = o.lang AND i.phrase = o.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * o.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+  l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -187,6 +222,7 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op13_phrase_collocations": op13_phrase_collocations,
     }
 
 
@@ -196,4 +232,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": SUBSTRING_SQL,
         "op9_chat_formatting": CHAT_SQL,
         "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+        "op13_phrase_collocations": COLLOCATION_SQL,
     }
