@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, collocations, decontaminate, fingerprints, html_extract, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
+from ledgerfeat.llm import chat_format, collocations, decontaminate, fingerprints, html_extract, lexical_search, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,11 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """Phrases of two and three words that stand together more often than their parts, for every language."""
     return collocations.collocations(table(spark, folder, "documents"))
@@ -179,6 +184,33 @@ SELECT doc_id, size, source_size, target,
   (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM ordered
 """
 
+SEARCH_SQL = rf"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS place, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+sized AS (SELECT place, doc_id, len(t)::BIGINT AS n, t FROM doc_terms WHERE len(t) > 0),
+whole AS (SELECT count(*) AS documents, sum(n)::BIGINT AS total FROM sized),
+item_terms AS (
+  SELECT item_id, item, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item, item_id,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL),
+tf AS (
+  SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(t) AS term FROM sized)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, whole GROUP BY term, documents),
+gains AS (
+  SELECT s.doc_id, s.place, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // total))) AS gain
+  FROM tf JOIN sized s USING (place) JOIN weights USING (term), whole),
+scores AS (
+  SELECT item_id, item, doc_id, place, sum(times * gain)::BIGINT AS score
+  FROM item_terms JOIN gains USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 COLLOCATION_SQL = rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
@@ -222,6 +254,7 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op12_lexical_search": op12_lexical_search,
         "op13_phrase_collocations": op13_phrase_collocations,
     }
 
@@ -232,5 +265,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": SUBSTRING_SQL,
         "op9_chat_formatting": CHAT_SQL,
         "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+        "op12_lexical_search": SEARCH_SQL,
         "op13_phrase_collocations": COLLOCATION_SQL,
     }
