@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfeat.llm import chat_format, collocations, decontaminate, fingerprints, html_extract, lexical_search, lm_score, mixing, near_dedup, quality, substring_dedup, toxicity
+from ledgerfeat.llm import chat_format, collocations, decontaminate, fingerprints, html_extract, lexical_search, lm_score, mixing, near_dedup, ngram_join, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,11 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by sets of four-word shingles that are at least 85 % alike."""
+    return ngram_join.ngram_join_groups(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best documents of every benchmark item."""
     return lexical_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -110,6 +115,9 @@ SELECT s.doc_id, len(s.s) AS n_shingles, l.component_id, s.doc_id = l.component_
 FROM sets s JOIN least l ON l.node = s.doc_id
 """
 
+JOIN_SQL = (NEAR_DEDUP_SQL.replace("len(w) < 5", "len(w) < 4").replace("w[i:i + 4]", "w[i:i + 3]").replace("len(w) - 3)", "len(w) - 2)")
+            .replace(", s.doc_id = l.component_id AS kept", ""))
+
 
 SUBSTRING_SQL = r"""
 WITH pieces AS (
@@ -254,6 +262,7 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
         "op12_lexical_search": op12_lexical_search,
         "op13_phrase_collocations": op13_phrase_collocations,
     }
@@ -265,6 +274,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": SUBSTRING_SQL,
         "op9_chat_formatting": CHAT_SQL,
         "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+        "op11_ngram_jaccard_join": JOIN_SQL,
         "op12_lexical_search": SEARCH_SQL,
         "op13_phrase_collocations": COLLOCATION_SQL,
     }
