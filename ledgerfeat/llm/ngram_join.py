@@ -9,11 +9,12 @@ that bounds on the sizes leave possible are computed:
 2. Of its first columns a row enters its rarest into lists, leaving out as many frequent ones as the bound allows
    (`left_out`). Two rows that link stand in a list together, whatever their sizes: nothing is missed.
 3. Rows of a list are multiplied with the list's leader, the row with the largest shared part. Rows left in different
-   components of a list are multiplied in blocks of the list, unless the n-grams that no other open row holds rule out the
+   components of a list are multiplied in blocks as well (`_list_groups`), unless the n-grams that no other open row holds rule out the
    overlap. Overlaps are added up column by column for all pairs of a block at once, and pairs below the bound are dropped;
    a block emits a spanning forest of its links, so its output is no larger than its input.
 
-A product task holds about ``CELLS`` entries. Many rows with one leader, or in one list, are cut into several tasks.
+A product task holds about ``CELLS`` entries of either side. Many rows with one leader, or in one list, are cut into several
+tasks.
 """
 
 from __future__ import annotations
@@ -170,29 +171,36 @@ def _lists(inputs: DataFrame) -> DataFrame:
                          F.explode(F.slice("shared", 1, room)["column"]).alias("column"))
 
 
-def _leader_blocks(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Blocks of rows and of their leaders, from ``pairs`` (node, n, leader)."""
-    cells = pairs.agg(F.sum("n")).first()[0] or 0
-    blocks = max(1, -(-cells // CELLS))
-    placed = pairs.select("node", "n", "leader", F.pmod(F.xxhash64("leader"), F.lit(blocks)).alias("block"))
-    parts = placed.groupBy("block").agg(F.ceil(F.sum("n") / CELLS).alias("parts"))
-    placed = placed.join(parts, "block")
-    left = placed.select("block", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node").distinct()
-    right = placed.select("block", "parts", F.col("leader").alias("node")).distinct()
-    right = right.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "node")
+def _blocks(groups: DataFrame, partners: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the rows of ``groups`` (key, node, n) and of their ``partners`` (key, node, n), for `block_links`.
+
+    Groups are packed into blocks of about ``CELLS`` entries by their key, with the partners of all of them; a block with more
+    entries of partners is cut into parts, each with the whole groups.
+    """
+    cells = groups.agg(F.sum("n")).first()[0] or 0
+    block = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-cells // CELLS)))).alias("block")
+    partners = partners.select(block, "node", "n").distinct()
+    parts = partners.groupBy("block").agg(F.ceil(F.sum("n") / CELLS).alias("parts"))
+    right = partners.join(parts, "block").select("block", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node")
+    left = groups.select(block, "node").distinct().join(parts, "block").select(
+        "block", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     return left.join(rows, "node"), right.join(rows, "node")
 
 
-def _list_blocks(lists: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every list cut into parts, and each part with itself and every later one."""
-    sizes = lists.groupBy("column").agg(F.ceil(F.sum("n") / CELLS).alias("parts"))
-    placed = lists.join(sizes, "column").select("column", "parts", "node", F.pmod(F.xxhash64("node"), "parts").alias("own"))
-    zero = F.lit(0).cast("long")
-    left = placed.select(F.col("column").alias("block"), "node", F.explode(F.transform(
-        F.sequence(F.col("own"), F.col("parts") - 1), lambda j: F.col("own") * F.col("parts") + j)).alias("part"))
-    right = placed.select(F.col("column").alias("block"), "node", F.explode(F.transform(
-        F.sequence(zero, F.col("own")), lambda i: i * F.col("parts") + F.col("own"))).alias("part"))
-    return left.join(rows, "node"), right.join(rows, "node")
+def _list_groups(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of the rows that have their longest list in common, and as partners all rows of groups they share a list with.
+
+    A row stands in dozens of lists with nearly the same rows. By groups, two of them meet once and not in every list.
+    """
+    lengths = lists.groupBy("column").agg(F.count("*").alias("rows"))
+    longest = lists.join(lengths, "column").groupBy("node", "n").agg(F.max(F.struct("rows", "column"))["column"].alias("longest"))
+    parts = longest.groupBy("longest").agg(F.ceil(F.sum("n") / CELLS).alias("parts"))
+    groups = longest.join(parts, "longest").select(
+        F.xxhash64("longest", F.pmod(F.xxhash64("node"), "parts")).alias("key"), "node", "n")
+    present = lists.select("column", "node").join(groups.select("node", "key"), "node").select("column", "key").distinct()
+    meeting = (present.join(present.select("column", F.col("key").alias("other")), "column").where("key <= other")
+               .select("key", "other").distinct())
+    return groups, meeting.join(groups.withColumnRenamed("key", "other"), "other").select("key", "node", "n")
 
 
 def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
@@ -228,14 +236,16 @@ def ngram_join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             F.count("*").alias("rows"), F.max(F.struct("central", F.col("n").alias("size"), F.col("node").alias("leader"))).alias("l"))
         lists = stages.write(lists.join(several.where("rows > 1").select("column", "l.leader", "l.size"), "column"))
         near = f"100 * least(n, size) >= {percent} * greatest(n, size)"
-        pairs = lists.where(f"node <> leader AND {near}").select("node", "n", "leader").distinct()
+        members = lists.where(f"node <> leader AND {near}").select(F.col("leader").alias("key"), "node", "n", "size").distinct()
 
         firsts = named.groupBy("node", "digest").agg(F.min("id").alias("id"))
         involved = firsts.join(lists.select("node").distinct(), "node", "left_semi")
         texts = source.join(involved, "id").select("node", "digest", "text")
         rows = stages.write(texts.mapInArrow(lambda it: _full_batches(it, width), "node long, grams array<long>")
                             .groupBy("node").agg(F.first("grams").alias("grams")))
-        links = stages.write(block_links(*_leader_blocks(stages.write(pairs), rows), percent))
+        members = stages.write(members)
+        leaders = members.select("key", F.col("key").alias("node"), F.col("size").alias("n")).distinct()
+        links = stages.write(block_links(*_blocks(leaders, members.select("key", "node", "n"), rows), percent))
 
         lists = stages.write(_open_lists(lists.select("column", "node", "n"), links))
         entries = rows.join(lists.select("node").distinct(), "node", "left_semi").select("node", F.explode("grams").alias("gram"))
@@ -246,7 +256,7 @@ def ngram_join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 .where(f"{100 + percent} * (n - coalesce(own, 0)) >= {percent} * (n + least)"))
         still = able.groupBy("column").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         able = stages.write(able.join(still, "column", "left_semi").select("column", "node", "n"))
-        links = links.unionByName(stages.write(block_links(*_list_blocks(able, rows), percent)))
+        links = links.unionByName(stages.write(block_links(*_blocks(*_list_groups(able), rows), percent)))
 
         # An id on several rows may stand for several sets, which are joined under it.
         held = named.select("id", "node").distinct()
