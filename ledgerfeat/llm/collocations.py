@@ -7,7 +7,7 @@
    this step reads the dictionary and never a text.
 3. Phrases are counted inside distinct chunks, weighted by the chunk's frequency. A phrase belongs to the chunk it starts in
    (``own`` words of it), never to the overlap, so each occurrence counts once.
-4. Counting runs twice. First all phrases fall into hashed buckets, eight bytes each: a bucket can only hold more than
+4. Counting runs twice. First all phrases fall into hashed buckets: a bucket can only hold more than
    its phrases, so one below the least frequency has no candidate. Then only phrases of the other buckets are spelled out
    and counted exactly. A bit filter names those buckets; it has 16 bits for each up to ``FILTER_BITS`` in all, beyond which
    it lets more phrases through to the exact count but never fewer.
@@ -28,10 +28,10 @@ from ledgerfeat.llm.stages import Stages
 LONGEST = 3
 #: One word in so many starts a chunk.
 TRIGGER = 6
-#: Bits of a hashed bucket, and the most bits of the filter over them (32 MB).
-BUCKET_BITS, FILTER_BITS = 44, 1 << 28
+#: Hashed buckets for each word of the corpus, rounded up to a power of two, and the most bits of the filter over them (32 MB).
+BUCKETS_A_WORD, FILTER_BITS = 16, 1 << 28
 #: Bytes of text, distinct chunks, and bytes of chunks handled at once.
-TEXT_SLICE, CHUNKS, CHUNK_SLICE = 1 << 20, 400_000, 1 << 20
+TEXT_SLICE, CHUNKS, CHUNK_SLICE = 1 << 20, 400_000, 1 << 22
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -144,15 +144,22 @@ class _Phrases:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Phrases]:
+    """The chunks of several batches together, up to about ``CHUNK_SLICE`` bytes."""
+    waiting: list[pa.RecordBatch] = []
+
+    def together() -> _Phrases:
+        table = pa.Table.from_batches(waiting)
+        waiting.clear()
+        return _Phrases(table.column("lang").to_pylist(), table.column("own").to_numpy(), table.column("chunk").to_pylist(),
+                        table.column("freq").to_numpy())
+
     for batch in batches:
-        chunks = batch.column("chunk").to_pylist()
-        langs = batch.column("lang").to_pylist()
-        own, freq = batch.column("own").to_numpy(), batch.column("freq").to_numpy()
-        filled = np.cumsum([len(c) for c in chunks]) // CHUNK_SLICE
-        edges = np.append(np.flatnonzero(np.append(True, filled[1:] != filled[:-1])), len(chunks))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if b > a:
-                yield _Phrases(langs[a:b], own[a:b], chunks[a:b], freq[a:b])
+        if batch.num_rows:
+            waiting.append(batch)
+        if sum(b.column("chunk").nbytes for b in waiting) > CHUNK_SLICE:
+            yield together()
+    if waiting:
+        yield together()
 
 
 def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,23 +170,23 @@ def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ordered[heads], np.add.reduceat(weights[order], heads) if len(heads) else weights[:0], order[heads]
 
 
-def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int) -> Iterator[pa.RecordBatch]:
     for phrases in _slices(batches):
         keys, weights = [], []
         for n in range(1, longest + 1):
             at, hashes = phrases.of_length(n)
-            keys.append(hashes >> np.uint64(64 - BUCKET_BITS))
+            keys.append(hashes >> np.uint64(64 - bucket_bits))
             weights.append(phrases.weight[at])
         buckets, sums, _ = _grouped(np.concatenate(keys), np.concatenate(weights))
         yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int64)), pa.array(sums)], names=["bucket", "count"])
 
 
-def _phrase_batches(batches: Iterator[pa.RecordBatch], longest: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _phrase_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     mask = np.uint64(len(bits) * 64 - 1)
     for phrases in _slices(batches):
         for n in range(1, longest + 1):
             at, hashes = phrases.of_length(n)
-            spot = (hashes >> np.uint64(64 - BUCKET_BITS)) & mask
+            spot = (hashes >> np.uint64(64 - bucket_bits)) & mask
             at = at[(bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1]
             # Occurrences are joined by two hashes, of the words and of the bytes, so that equal ones are the same phrase.
             key = phrases.salt[at]
@@ -199,7 +206,7 @@ def bucket_filter(buckets: DataFrame) -> np.ndarray:
     wanted = max(1 << 10, 16 * buckets.count())
     size = min(FILTER_BITS, 1 << (wanted - 1).bit_length())
     spot = F.col("bucket").bitwiseAND(size - 1)
-    words = (buckets.select(F.shiftright(spot, 6).alias("word"), F.expr(f"shiftleft(1L, CAST(bucket & 63 AS INT))").alias("bit"))
+    words = (buckets.select(F.shiftright(spot, 6).alias("word"), F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))").alias("bit"))
              .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
     bits = np.zeros(size // 64, np.int64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
@@ -208,10 +215,13 @@ def bucket_filter(buckets: DataFrame) -> np.ndarray:
 
 def phrase_counts(chunks: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
     """``lang``, ``phrase``, ``n_words`` and the exact number of occurrences ``f`` of all phrases with ``f >= least``."""
-    parts = chunks.mapInArrow(lambda it: _bucket_batches(it, longest), "bucket long, count long")
+    words = chunks.agg(F.sum(F.col("freq") * F.col("own"))).first()[0] or 0
+    bucket_bits = min(60, max(10, (BUCKETS_A_WORD * words).bit_length()))
+    # Tasks have added up what they could; another attempt before the shuffle would only sort.
+    parts = chunks.mapInArrow(lambda it: _bucket_batches(it, longest, bucket_bits), "bucket long, count long").repartition("bucket")
     full = parts.groupBy("bucket").agg(F.sum("count").alias("count")).where(F.col("count") >= least).select("bucket")
     bits = chunks.sparkSession.sparkContext.broadcast(bucket_filter(full))
-    found = chunks.mapInArrow(lambda it: _phrase_batches(it, longest, bits.value), "lang string, phrase binary, n_words int, f long")
+    found = chunks.mapInArrow(lambda it: _phrase_batches(it, longest, bucket_bits, bits.value), "lang string, phrase binary, n_words int, f long")
     return (found.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
             .select("lang", F.col("phrase").cast("string").alias("phrase"), "n_words", "f"))
 
