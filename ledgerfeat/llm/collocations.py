@@ -30,6 +30,8 @@ LONGEST = 3
 TRIGGER = 6
 #: Hashed buckets for each word of the corpus, rounded up to a power of two, and the most bits of the filter over them (32 MB).
 BUCKETS_A_WORD, FILTER_BITS = 16, 1 << 28
+#: Phrases of the corpus for each part of the buckets: what one task adds up.
+PART_PHRASES = 1 << 21
 #: Bytes of text, distinct chunks, and bytes of chunks handled at once.
 TEXT_SLICE, CHUNKS, CHUNK_SLICE = 1 << 20, 400_000, 1 << 22
 
@@ -51,7 +53,7 @@ def piece_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def parse(data: bytes, longest: int = LONGEST) -> list[tuple[int, bytes]]:
-    """The chunks of ``data`` in order: own words, and the bytes with the overlap."""
+    """The chunks of ``data`` in order: own words, and the bytes with the overlap and a line end."""
     starts, ends, first = piece_words(data)
     if not len(starts):
         return []
@@ -60,7 +62,7 @@ def parse(data: bytes, longest: int = LONGEST) -> list[tuple[int, bytes]]:
     firsts = np.flatnonzero(first)
     piece_end = np.append(firsts[1:], len(starts))[np.cumsum(first)[heads] - 1]
     stop = np.minimum(heads + own + longest - 1, piece_end)
-    return [(o, data[s:e]) for o, s, e in zip(own.tolist(), starts[heads].tolist(), ends[stop - 1].tolist())]
+    return [(o, data[s:e] + b"\n") for o, s, e in zip(own.tolist(), starts[heads].tolist(), ends[stop - 1].tolist())]
 
 
 def _portions(text: bytes) -> Iterator[bytes]:
@@ -111,7 +113,8 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[
 def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST) -> DataFrame:
     """``lang``, ``own``, ``chunk`` and ``freq``: the distinct chunks of every language and how often the parse takes them.
 
-    A null language is ``und``; a null text has no chunk. ``chunk`` holds the words from A-Z lower-cased bytes.
+    A null language is ``und``; a null text has no chunk. ``chunk`` holds A-Z lower-cased bytes and
+    ends with a line end.
     """
     source = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     parts = source.mapInArrow(lambda it: _parse_batches(it, longest), "lang string, own int, chunk binary, freq long")
@@ -121,16 +124,19 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 class _Phrases:
     """All phrases of some chunks: hash, weight, place and language of each, for one length."""
 
-    def __init__(self, langs: Sequence[str], own: np.ndarray, chunks: list[bytes], freq: np.ndarray) -> None:
-        self.data = b"\n".join(chunks)
+    def __init__(self, chunks: pa.Table) -> None:
+        chunk = pa.chunked_array(chunks.column("chunk").chunks, pa.binary()).combine_chunks()
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        self.data = chunk.buffers()[2][int(offsets[0]):int(offsets[-1])].to_pybytes()
         self.starts, self.ends, first = piece_words(self.data)
         self.chunk = np.cumsum(first) - 1
         place = np.arange(len(self.starts)) - np.flatnonzero(first)[self.chunk]
-        self.owned = place < own[self.chunk]
+        self.owned = place < chunks.column("own").to_numpy()[self.chunk]
         self.words = span_hashes(self.data, self.starts, self.ends)
-        self.weight = freq[self.chunk]
-        self.names, codes = np.unique(np.array(langs, object), return_inverse=True)
-        self.lang = codes[self.chunk]
+        self.weight = chunks.column("freq").to_numpy()[self.chunk]
+        langs = chunks.column("lang").combine_chunks().dictionary_encode()
+        self.names = np.array(langs.dictionary.to_pylist(), object)
+        self.lang = langs.indices.to_numpy()[self.chunk]
         salt = np.array([int.from_bytes(n.encode()[:7], "little") + 131 * len(n.encode()) for n in self.names], np.uint64)
         self.salt = mix(salt)[self.lang]
 
@@ -146,31 +152,27 @@ class _Phrases:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Phrases]:
     """The chunks of several batches together, up to about ``CHUNK_SLICE`` bytes."""
     waiting: list[pa.RecordBatch] = []
-
-    def together() -> _Phrases:
-        table = pa.Table.from_batches(waiting)
-        waiting.clear()
-        return _Phrases(table.column("lang").to_pylist(), table.column("own").to_numpy(), table.column("chunk").to_pylist(),
-                        table.column("freq").to_numpy())
-
     for batch in batches:
         if batch.num_rows:
             waiting.append(batch)
         if sum(b.column("chunk").nbytes for b in waiting) > CHUNK_SLICE:
-            yield together()
+            yield _Phrases(pa.Table.from_batches(waiting))
+            waiting.clear()
     if waiting:
-        yield together()
+        yield _Phrases(pa.Table.from_batches(waiting))
 
 
 def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the sums of their weights, and one place of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
     return ordered[heads], np.add.reduceat(weights[order], heads) if len(heads) else weights[:0], order[heads]
 
 
-def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int) -> Iterator[pa.RecordBatch]:
+def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int, part_bits: int) -> Iterator[pa.RecordBatch]:
+    """Buckets and counts of a slice by the bucket's first bits, as arrays of its other bits and of counts."""
+    low = np.uint64(bucket_bits - part_bits)
     for phrases in _slices(batches):
         keys, weights = [], []
         for n in range(1, longest + 1):
@@ -178,7 +180,21 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits
             keys.append(hashes >> np.uint64(64 - bucket_bits))
             weights.append(phrases.weight[at])
         buckets, sums, _ = _grouped(np.concatenate(keys), np.concatenate(weights))
-        yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int64)), pa.array(sums)], names=["bucket", "count"])
+        parts, starts = np.unique(buckets >> low, return_index=True)
+        rest = (buckets & ((np.uint64(1) << low) - np.uint64(1))).astype(np.uint32)
+        ends = np.append(starts[1:], len(buckets)).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts.astype(np.int64)), pa.array([rest[a:b].tobytes() for a, b in zip(starts.tolist(), ends)], pa.binary()),
+             pa.array([sums[a:b].tobytes() for a, b in zip(starts.tolist(), ends)], pa.binary())], names=["part", "buckets", "counts"])
+
+
+def _full_buckets(part: pa.Table, least: int, low: int) -> pa.Table:
+    """The buckets of a part with at least ``least`` phrases over all slices."""
+    keys = np.frombuffer(b"".join(part.column("buckets").to_pylist()), np.uint32)
+    sums = np.frombuffer(b"".join(part.column("counts").to_pylist()), np.int64)
+    buckets, sums, _ = _grouped(keys, sums)
+    first = part.column("part")[0].as_py() << low
+    return pa.table({"bucket": pa.array(buckets[sums >= least].astype(np.int64) + first)})
 
 
 def _phrase_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,13 +229,13 @@ def bucket_filter(buckets: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def phrase_counts(chunks: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
+def phrase_counts(chunks: DataFrame, stages: Stages, least: int, longest: int = LONGEST) -> DataFrame:
     """``lang``, ``phrase``, ``n_words`` and the exact number of occurrences ``f`` of all phrases with ``f >= least``."""
     words = chunks.agg(F.sum(F.col("freq") * F.col("own"))).first()[0] or 0
-    bucket_bits = min(60, max(10, (BUCKETS_A_WORD * words).bit_length()))
-    # Tasks have added up what they could; another attempt before the shuffle would only sort.
-    parts = chunks.mapInArrow(lambda it: _bucket_batches(it, longest, bucket_bits), "bucket long, count long").repartition("bucket")
-    full = parts.groupBy("bucket").agg(F.sum("count").alias("count")).where(F.col("count") >= least).select("bucket")
+    bucket_bits = max(10, (BUCKETS_A_WORD * words).bit_length())
+    part_bits = (longest * words // PART_PHRASES).bit_length()
+    parts = chunks.mapInArrow(lambda it: _bucket_batches(it, longest, bucket_bits, part_bits), "part long, buckets binary, counts binary")
+    full = stages.write(parts.groupBy("part").applyInArrow(lambda part: _full_buckets(part, least, bucket_bits - part_bits), "bucket long"))
     bits = chunks.sparkSession.sparkContext.broadcast(bucket_filter(full))
     found = chunks.mapInArrow(lambda it: _phrase_batches(it, longest, bucket_bits, bits.value), "lang string, phrase binary, n_words int, f long")
     return (found.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
@@ -239,7 +255,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """
     with Stages(docs.sparkSession) as stages:
         chunks = stages.write(dictionary(docs, text_col, lang_col, longest))
-        counted = stages.write(phrase_counts(chunks, least, longest))
+        counted = stages.write(phrase_counts(chunks, stages, least, longest))
         totals = chunks.groupBy("lang").agg(F.sum(F.col("freq") * F.col("own")).alias("n"))
         words = F.split("phrase", " ")
         phrases = counted.where("n_words > 1").select("lang", "phrase", "n_words", F.col("f").alias("a"), words.alias("w"))
