@@ -13,8 +13,8 @@ from ledgerfeat.functions import columns as cols
 from ledgerfeat.functions.scalar import not_in
 from ledgerfeat.functions.stats import sample_kurtosis, sample_skewness
 from ledgerfeat.operators import audit, encode, payments, statements, summaries, transactions, trends
-from ledgerfeat.plans import features, scoring, search
-from ledgerfeat.session import pin
+from ledgerfeat.plans import features, final, scoring, search
+from ledgerfeat.session import ensure_checkpoint_dir, pin
 from ledgerfeat.sources import orders
 from ledgerfeat.sources.readers import stack_tables
 
@@ -136,6 +136,16 @@ def annual_columns(*prefixes: str) -> Query:
         summaries.summary_annual(p.enriched, p.ledger.hot_statements), keep=["account_id"], starts_with=prefixes))
 
 
+def series_facts(p: features.FeaturePlan) -> DataFrame:
+    """What the blocks of the statement series hold."""
+    series = statements.statement_series(p.enriched)
+    total = F.aggregate("credit_ratio", F.lit(None).cast("double"), lambda a, x: F.coalesce(a + x, a, x))
+    return series.select(
+        "account_id", "block", F.col("ranks")[0].alias("first_rank"), F.size("ranks").cast("long").alias("n_ranks"),
+        total.alias("sum_credit_ratio"), F.col("total_balance")[0].alias("first_total_balance"),
+        F.element_at("total_balance", -1).alias("last_total_balance"))
+
+
 def quarter_ratio_low(p: features.FeaturePlan) -> DataFrame:
     wide = summaries.summary_quarter(p.enriched, p.ledger.hot_statements)
     return wide.select("account_id", summaries.quarter_ratio(min_denominator=0.2).alias("credit_ratio_q4_on_q1"))
@@ -152,6 +162,7 @@ def statement_queries() -> dict[str, Query]:
         "quarter_limits": on_plan(lambda p: statements.quarter_limits(p.enriched)),
         "balance_delta": enriched("balance_delta"),
         "statement_wide": on_plan(lambda p: statements.wide_statement_features(p.enriched)),
+        "statement_series": on_plan(series_facts),
         "unpivot_long": on_plan(unpivot_long),
         "summary_quarter": on_plan(lambda p: summaries.summary_quarter(p.enriched, p.ledger.hot_statements)),
         "summary_semester": on_plan(lambda p: summaries.summary_semester(p.enriched, p.ledger.hot_statements)),
@@ -341,10 +352,11 @@ def encoding_queries() -> dict[str, Query]:
 
 # Models --------------------------------------------------------------------------------------
 
-# Folds, sets and rounds of the registered runs; the library's defaults are those of a full run.
-RUN_FOLDS = 3
-RUN_SETS = 2
-RUN_ROUNDS = 5
+# Folds, sets, rounds and patience of the registered runs; the library's defaults are those of a full run.
+RUN_FOLDS = oracles.FOLDS
+RUN_SETS = 6
+RUN_ROUNDS = oracles.ROUNDS
+RUN_PATIENCE = 6
 RUN_PARAMS = scoring.BoostParams(eta=0.1, max_depth=3, min_child_weight=3, subsample=0.5, columns=0.5, rounds=RUN_ROUNDS)
 
 _designs: dict[tuple, tuple[DataFrame, DataFrame, dict[str, bool]]] = {}
@@ -354,16 +366,8 @@ def design(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, dict
     """Account features, their vectors with folds and split, and the columns used; built once per state of the folder."""
     key = folder_state(spark, folder)
     if key not in _designs:
-        p = plan(spark, folder)
-        l = p.ledger
-        table = (
-            l.accounts.select("account_id", "default_flag")
-            .join(summaries.summary_annual(p.enriched, l.hot_statements), "account_id", "left")
-            .join(payments.payments_summary(l.payments), "account_id", "left")
-            .join(transactions.days_between_summary(l.transactions), "account_id", "left")
-            .join(favorites(p), "account_id", "left")
-        )
-        table = encode.stratified_folds(cols.drop_higher_moments(cols.dates_to_numeric(table)), "default_flag", RUN_FOLDS)
+        table = features.finish_features(assembled(plan(spark, folder, stage=pin)))
+        table = encode.stratified_folds(table, "default_flag", RUN_FOLDS)
         table = pin(encode.stratified_split(table, "default_flag", 0.9))
         used = scoring.known_columns(table, [c for c in scoring.feature_names(table) if c not in ("fold", "in_train")])
         _designs[key] = (table, pin(scoring.design_vector(table, used)), used)
@@ -386,7 +390,7 @@ def gbt_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> D
 
 def gbt_categorical_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     train, test = both_parts(scoring.with_missing_flags(table, used))
-    names = ["favorite_category", "favorite_sic_group"]
+    names = [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]
     levels = table.agg(*[F.count_distinct(n).alias(n) for n in names]).first()
     trees = scoring.train_gbt_categorical(used, names, max(levels) + 1, RUN_PARAMS)
     return scoring.score(trees.fit(train), test)
@@ -410,22 +414,29 @@ def oof_scores(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> D
     return scoring.oof_predict(scoring.train_gbt(RUN_PARAMS), both_parts(vectors)[0], RUN_FOLDS)[0]
 
 
+def oof_audit(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    """Accounts and folds that the out-of-fold scores cover, and whether all are shares."""
+    return oof_scores(table, vectors, used).select(
+        "account_id", "default_flag", "fold", F.col("default_score").between(0.0, 1.0).alias("in_range"))
+
+
 def oof_auc(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     return audit.auc_score(oof_scores(table, vectors, used), "default_flag", "default_score")
 
 
 def best_rounds(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     train = both_parts(vectors)[0]
-    rounds = scoring.best_iteration(RUN_PARAMS, train, RUN_FOLDS)
+    rounds = scoring.best_iteration(RUN_PARAMS, train, RUN_FOLDS, RUN_PATIENCE)
     return train.groupBy().agg(F.count("*").alias("train_rows")).withColumn("best_iteration", F.lit(rounds))
 
 
 def searched(sets: list[scoring.BoostParams]) -> Query:
-    return on_design(lambda table, vectors, used: search.search(both_parts(vectors)[0], sets, RUN_FOLDS)[0])
+    return on_design(lambda table, vectors, used: search.search(
+        both_parts(vectors)[0], sets, RUN_FOLDS, patience=RUN_PATIENCE, parallelism=8)[0])
 
 
 def response(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
-    results, _ = search.search(both_parts(vectors)[0], search.random_params(RUN_SETS, RUN_ROUNDS), RUN_FOLDS, find_rounds=False)
+    results, _ = search.search(both_parts(vectors)[0], search.random_params(RUN_SETS, RUN_ROUNDS), RUN_FOLDS, find_rounds=False, parallelism=8)
     return search.search_response(results, "eta", *search.ETA_RANGE)
 
 
@@ -452,6 +463,33 @@ def curve(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFr
     return scoring.learning_curve(model, {"train": fitted, "hold_out": held_out})
 
 
+def area_by_round(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    """Area under the curve after every round on the training rows and the hold-out rows."""
+    train = both_parts(vectors)[0]
+    fitted, held_out = train.filter("in_train = 1"), train.filter("in_train = 0")
+    return scoring.area_curve(scoring.train_gbt(RUN_PARAMS).fit(fitted), {"train": fitted, "hold_out": held_out})
+
+
+def fold_sizes(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
+    """Defaults and others behind the areas of every fold and round."""
+    return scoring.round_curve(both_parts(vectors)[0], RUN_PARAMS, RUN_FOLDS).select(
+        F.col("fold").cast("int").alias("fold"), F.col("round").cast("int").alias("round"), "n_pos", "n_neg",
+        F.col("auc").between(0.0, 1.0).alias("is_area"))
+
+
+_runs: dict[tuple, final.Run] = {}
+
+
+def final_run(spark: SparkSession, folder: str) -> final.Run:
+    """The whole scoring job on the folder, once per state of it: search, best set, ten copies, published mean."""
+    key = folder_state(spark, folder)
+    if key not in _runs:
+        root = f"{ensure_checkpoint_dir(spark)}/final"
+        _runs[key] = final.final_scores(design(spark, folder)[1], root, search.random_params(RUN_SETS, RUN_ROUNDS), RUN_FOLDS,
+                                        patience=RUN_PATIENCE, parallelism=8)
+    return _runs[key]
+
+
 def cv_metric(table: DataFrame, vectors: DataFrame, used: dict[str, bool]) -> DataFrame:
     train = both_parts(vectors)[0]
     areas = scoring.cross_validate(scoring.train_gbt(RUN_PARAMS), train, RUN_FOLDS)
@@ -487,9 +525,18 @@ def vector_values(p: features.FeaturePlan) -> DataFrame:
         "account_id", "default_flag", *[values[i].alias(n) for i, n in enumerate(scoring.design_names(used))])
 
 
+def filled_by_fold(p: features.FeaturePlan) -> DataFrame:
+    """Payment statistics with gaps filled by the means of the other folds."""
+    facts = p.ledger.accounts.select("account_id", "default_flag").join(payments.payments_monthly(p.ledger.payments), "account_id", "left")
+    facts = pin(encode.stratified_folds(facts, "default_flag", RUN_FOLDS))
+    names = [c for c in scoring.feature_names(facts) if c != "fold"]
+    return scoring.fill_by_fold(facts, names).select("account_id", "default_flag", "fold", *[f"{c}_filled" for c in names])
+
+
 def model_queries() -> dict[str, Query]:
     return {
         "design_vector": on_plan(vector_values),
+        "design_vector_by_fold": on_plan(filled_by_fold),
         "index_categories": on_plan(indexed),
         "pca_features": on_design(lambda table, vectors, used: scoring.pca_features(vectors)),
         "train_gbt": on_design(gbt_scores),
@@ -497,16 +544,21 @@ def model_queries() -> dict[str, Query]:
         "train_logistic_l1": on_design(logistic_scores),
         "train_mlp": on_design(mlp_scores),
         "oof_predict": on_design(oof_scores),
+        "oof_predict_audit": on_design(oof_audit),
         "oof_auc": on_design(oof_auc),
         "best_iteration": on_design(best_rounds),
         "random_search": searched(search.random_params(RUN_SETS, RUN_ROUNDS)),
-        "grid_search": searched(search.grid_params(RUN_ROUNDS, columns=(0.5,), child_weights=(3,), gammas=(0.0,))),
+        "grid_search": searched(search.grid_params(RUN_ROUNDS)),
         "search_response": on_design(response),
         "cross_validate": on_design(cv_metric),
         "feature_importance": on_design(importance),
         "top_features": on_design(top_feature_table),
         "coefficients": on_design(l1_coefficients),
         "learning_curve": on_design(curve),
+        "learning_curve_auc": on_design(area_by_round),
+        "round_areas": on_design(fold_sizes),
+        "final_scores": lambda spark, folder: final.published(final_run(spark, folder)),
+        "final_scores_audit": lambda spark, folder: final.audit_run(final_run(spark, folder)),
         "ensemble_mean": on_design(ensemble),
         "stack_features": on_design(stacked),
     }

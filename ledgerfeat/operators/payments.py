@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerfeat.functions.scalar import days_between, month_start, ratio
 from ledgerfeat.functions.stats import basic, count_where, sample_kurtosis, sample_skewness
 from ledgerfeat.operators.skew import NONE, HotKeys, cold_rows, is_hot, join_per_key
-from ledgerfeat.operators.statements import wide_series
+from ledgerfeat.operators.statements import NAMED_RANKS, wide_series
 
 # Fixed value: days added to the time until the last statement when a bill is still unpaid.
 UNPAID_EXTRA_DAYS = 60
@@ -82,8 +82,8 @@ def pct_paid(enriched: DataFrame, payments: DataFrame, hot: HotKeys = NONE) -> D
     )
 
 
-def pct_paid_summary(paid: DataFrame, ranks: Sequence[int] | None = None) -> DataFrame:
-    """Mean, max, min and moments of the share paid, and the share of each statement rank."""
+def pct_paid_summary(paid: DataFrame, ranks: Sequence[int] = NAMED_RANKS) -> DataFrame:
+    """Mean, max, min and moments of the share paid, and the share of each named statement rank."""
     summary = paid.filter(F.col("is_last_statement") == 0).groupBy("account_id").agg(
         F.avg("pct_paid").alias("mean_pct_paid"),
         F.max("pct_paid").alias("max_pct_paid"),

@@ -19,6 +19,12 @@ OVERFLOW = 5
 DAYS_AFTER_LAST = 30
 QUARTERS = (1, 2, 3, 4, OVERFLOW)
 HALVES = (1, 2, OVERFLOW)
+STATEMENTS_PER_YEAR = 14
+
+#: Ranks that get columns unless the caller names others; ranks in a block of a series; and the series of a statement.
+NAMED_RANKS = range(1, STATEMENTS_PER_YEAR + 1)
+SERIES_BLOCK = 64
+SERIES = ("credit_ratio", "balance_delta", "total_balance")
 
 
 
@@ -156,16 +162,32 @@ def quarter_of(day: Column) -> Column:
     )
 
 
-def ranks_present(df: DataFrame) -> range:
-    """Every statement rank up to the longest account's last one (one number from the data)."""
-    return range(1, (df.agg(F.max("rank_from_last")).first()[0] or 0) + 1)
+def statement_series(df: DataFrame, columns: Sequence[str] = SERIES, block: int = SERIES_BLOCK) -> DataFrame:
+    """Every series of an account by statement rank: ``account_id``, ``block``, ``ranks`` and one array per column.
+
+    Block ``b`` holds ranks ``b * block + 1`` to ``(b + 1) * block`` in order. No row and no schema grows with the number of
+    an account's statements, and an account with many spreads over as many groups as it has blocks.
+    """
+    value = F.struct("rank_from_last", *[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.groupBy("account_id", F.floor((F.col("rank_from_last") - 1) / block).alias("block")).agg(
+        F.sort_array(F.collect_list(value)).alias("_rows"))  # at most ``block`` rows
+    return rows.select("account_id", "block", F.col("_rows.rank_from_last").alias("ranks"),
+                       *[F.col(f"_rows.{c}").alias(c) for c in columns])
+
+
+def values_at(series: DataFrame, ranks: Sequence[int], columns: Sequence[str] = SERIES, block: int = SERIES_BLOCK) -> DataFrame:
+    """``<column>_t_minus_<rank>`` for the ranks asked for, read from their blocks; accounts without them have NULL."""
+    def at(c: str, r: int) -> Column:
+        place = F.array_position("ranks", F.lit(r)).cast("int")
+        here = (F.col("block") == (r - 1) // block) & (place > 0)
+        return F.max(F.when(here, F.element_at(c, F.when(place > 0, place)))).alias(f"{c}_t_minus_{r}")
+    return series.groupBy("account_id").agg(*[at(c, r) for r in ranks for c in columns])
 
 
-def wide_series(df: DataFrame, columns: Sequence[str], ranks: Sequence[int] | None = None) -> DataFrame:
-    """One column per series and statement rank, in a single aggregation; all ranks present unless given."""
-    ranks = ranks_present(df) if ranks is None else ranks
+def wide_series(df: DataFrame, columns: Sequence[str], ranks: Sequence[int] = NAMED_RANKS) -> DataFrame:
+    """One column per series and named statement rank, in a single aggregation; ``statement_series`` has all ranks."""
     return widen(df, "account_id", "rank_from_last", ranks, columns, lambda m, r: f"{m}_t_minus_{r}")
 
 
-def wide_statement_features(enriched: DataFrame, ranks: Sequence[int] | None = None) -> DataFrame:
-    return wide_series(enriched, ["credit_ratio", "balance_delta", "total_balance"], ranks)
+def wide_statement_features(enriched: DataFrame, ranks: Sequence[int] = NAMED_RANKS) -> DataFrame:
+    return wide_series(enriched, SERIES, ranks)

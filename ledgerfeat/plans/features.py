@@ -32,7 +32,6 @@ FULL_PAYMENT_COLUMNS = (
 FOURTEENTH_COLUMNS = (
     "credit_ratio_t_minus_14", "balance_delta_t_minus_13", "total_balance_t_minus_14", "pct_paid_t_minus_14",
 )
-STATEMENTS_PER_YEAR = 14
 TARGET_FOLDS = 50
 CATEGORICAL = (
     "favorite_city_code", "favorite_city_code_Q1", "favorite_city_code_Q2", "favorite_city_code_Q3",
@@ -83,12 +82,6 @@ class FeaturePlan:
         return {v: transactions.distinct_values(transactions.of_variable(self.profile, v), "value")
                 for v in transactions.SHARE_COLUMNS}
 
-    @cached_property
-    def ranks(self) -> range:
-        """Statement ranks that get columns: up to the number of statements of the longest account."""
-        longest = self.ledger.statements.groupBy("account_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        return range(1, (longest or 0) + 1)
-
     @cached_property
     def paid(self) -> DataFrame:
         return payments.pct_paid(self.enriched, self.ledger.payments, self.ledger.hot_statements)
@@ -141,7 +134,7 @@ class FeaturePlan:
             trends.trend_delays(self.outcomes), "account_id", "left")
 
     def paid_features(self) -> DataFrame:
-        return payments.pct_paid_summary(self.paid, self.ranks).join(trends.trend_pct_paid(self.paid), "account_id", "left")
+        return payments.pct_paid_summary(self.paid).join(trends.trend_pct_paid(self.paid), "account_id", "left")
 
     def families(self) -> dict[str, Callable[[], DataFrame]]:
         """Makers of tables with one row per account; each is a job of its own when staged."""
@@ -158,7 +151,7 @@ class FeaturePlan:
             "gaps": lambda: transactions.days_between_summary(ledger.transactions),
             "city": lambda: self.encoded_city,
             "statements": lambda: summaries.summary_annual(self.enriched, stm_hot),
-            "statement_series": lambda: statements.wide_statement_features(self.enriched, self.ranks),
+            "statement_series": lambda: statements.wide_statement_features(self.enriched),
             "semesters": lambda: summaries.summary_semester(self.enriched, stm_hot),
             "quarters": lambda: summaries.summary_quarter(self.enriched, stm_hot).withColumn(
                 "credit_ratio_Q4_on_Q1", summaries.quarter_ratio()),
@@ -208,7 +201,7 @@ def history_flags() -> dict:
         "has_payment_data": zero("has_payment_data"),
         "has_transaction_data": zero("has_transaction_data"),
         "has_full_payment": zero("has_full_payment"),
-        "has_14_statements": flag(F.col("count_statements") == STATEMENTS_PER_YEAR),
+        "has_14_statements": flag(F.col("count_statements") == statements.STATEMENTS_PER_YEAR),
         "has_no_bill": flag(zero("count_bills") == 0),
         "count_bills": zero("count_bills"),
         "year": F.year("as_of"),

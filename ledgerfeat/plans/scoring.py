@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import partial
 from multiprocessing.pool import ThreadPool
-from statistics import median
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -26,6 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerfeat.functions.columns import NUMERIC, names_by_pattern, names_by_type
 from ledgerfeat.operators.encode import zscore_wide_columns
+from ledgerfeat.plans import packed
 
 LABEL = "default_flag"
 KEY = "account_id"
@@ -108,10 +106,58 @@ def design_names(columns: Mapping[str, bool]) -> list[str]:
     return whole + [f"{c}_filled" for c in gaps] + [f"{c}_missing" for c in gaps]
 
 
-def design_vector(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
-    """Key, label and feature vector."""
+def fold_sums(df: DataFrame, columns: Sequence[str], fold: str = "fold") -> DataFrame:
+    """``fold``, ``place``, ``total`` and ``n`` of every column's known values by fold of the labelled rows.
+
+    Columns travel as one array and are added up by place, so the compiled code is the same for ten columns and thousands.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    rows = df.filter(F.col(LABEL).isNotNull()).select(F.col(fold).alias("fold"), F.posexplode(values).alias("place", "value"))
+    return rows.groupBy("fold", "place").agg(F.sum("value").alias("total"), F.count("value").alias("n"))
+
+
+def fold_means(df: DataFrame, columns: Sequence[str], fold: str = "fold") -> DataFrame:
+    """``fold`` and ``means``: the mean of every column over the labelled rows of the other folds; fold 0 leaves none out.
+
+    Each fold is added up once and its share taken off the total. A column without values elsewhere has the mean 0.
+    """
+    parts = fold_sums(df, columns, fold)
+    sums = parts.groupBy("place").agg(F.sum("total").alias("all"), F.sum("n").alias("all_n"))
+    others = parts.join(sums, "place").select("fold", "place", (F.col("all") - F.coalesce("total", F.lit(0.0))).alias("total"),
+                                              (F.col("all_n") - F.col("n")).alias("n"))
+    every = sums.select(F.lit(0).alias("fold"), "place", F.col("all").alias("total"), F.col("all_n").alias("n"))
+    mean = F.coalesce(F.try_divide("total", "n"), F.lit(0.0)).alias("mean")
+    return others.unionByName(every).groupBy("fold").agg(
+        F.sort_array(F.collect_list(F.struct("place", mean)))["mean"].alias("means"))  # a row per fold, a value per column
+
+
+def fill_by_fold(df: DataFrame, columns: Sequence[str], fold: str = "fold") -> DataFrame:
+    """``<column>_filled`` for every column: its value, or the mean of the folds the row is not in.
+
+    Rows without a label take the mean of all labelled rows.
+    """
+    means = fold_means(df, columns, fold).withColumnRenamed("fold", "_fold")
+    key = F.when(F.col(LABEL).isNotNull(), F.col(fold)).otherwise(0)
+    joined = df.join(F.broadcast(means), key == F.col("_fold"), "left")  # a row per fold
+    return joined.select(*df.columns, *[F.coalesce(F.col(c).cast("double"), F.get("means", F.lit(i))).alias(f"{c}_filled")
+                                        for i, c in enumerate(columns)])
+
+
+def design_vector(df: DataFrame, columns: Mapping[str, bool], categories: Sequence[str] = ()) -> DataFrame:
+    """Key, label and feature vector; ``categories`` add a dummy for every level but one.
+
+    With a column ``fold`` missing values are filled by the means of the other folds, without one by those of all rows.
+    """
     flagged = with_missing_flags(df, columns)
-    made = Pipeline(stages=design_stages(columns)).fit(flagged).transform(flagged)
+    gaps = [c for c, missing in columns.items() if missing]
+    if "fold" in df.columns and gaps:
+        flagged, stages = fill_by_fold(flagged, gaps), design_stages(columns)[1:]
+    else:
+        stages = design_stages(columns)
+    if categories:
+        assemble = VectorAssembler(inputCols=[*design_names(columns), *[f"{c}_dummies" for c in categories]], outputCol=VECTOR)
+        stages = [*stages[:-1], *one_hot_stages(categories), assemble]
+    made = Pipeline(stages=stages).fit(flagged).transform(flagged)
     return made.select(*[c for c in (KEY, LABEL, "fold", "in_train") if c in df.columns], VECTOR)
 
 
@@ -264,27 +310,38 @@ def learning_curve(model: Model, parts: Mapping[str, DataFrame]) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, fields)
 
 
-def _best_round(losses: Sequence[float], patience: int) -> int:
-    """Round with the lowest loss before it fails to improve for ``patience`` rounds."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
+def fit_members(df: DataFrame, sets: Sequence[BoostParams], folds: int, parallelism: int = 4) -> list[packed.Member]:
+    """Every parameter set fitted without each fold, a few fits at a time."""
+    rows = df.count() if any(p.gamma for p in sets) else None
+
+    def fit(job: tuple[int, int]) -> packed.Member:
+        i, k = job
+        return packed.Member(i + 1, k, packed.forest_of(fit_fold(train_gbt(sets[i], rows=rows), df, k)))
+    with ThreadPool(parallelism) as pool:
+        return pool.map(fit, [(i, k) for i in range(len(sets)) for k in range(1, folds + 1)], chunksize=1)
+
+
+def round_curve(df: DataFrame, params: BoostParams, folds: int, parallelism: int = 4) -> DataFrame:
+    """Hold-out AUC after every round in every fold: ``set_id`` (1), ``fold``, ``round``, ``n_pos``, ``n_neg``, ``auc``."""
+    members = fit_members(df, [params], folds, parallelism)
+    return packed.round_areas(packed.staged_margins(df, members, [LABEL]), LABEL)
 
 
 def best_iteration(params: BoostParams, df: DataFrame, folds: int, patience: int = PATIENCE,
                    parallelism: int = 4) -> int:
-    """Rounds after which the hold-out loss stops improving: the median over folds, rounded down."""
-    rows = df.count() if params.gamma else None
+    """Rounds after which the hold-out AUC stops growing: the median over folds, rounded down."""
+    return packed.best_rounds(round_curve(df, params, folds, parallelism), patience)[1]
 
-    def best(k: int) -> int:
-        model = fit_fold(train_gbt(params, rows=rows), df, k)
-        return _best_round(model.evaluateEachIteration(df.filter(F.col("fold") == k)), patience)
-    with ThreadPool(min(parallelism, folds)) as pool:
-        return math.floor(median(pool.map(best, range(1, folds + 1))))
+
+def area_curve(model: Model, parts: Mapping[str, DataFrame]) -> DataFrame:
+    """AUC after every round on each part, for example training rows and hold-out rows: ``part``, ``round``, ``auc``."""
+    forest = packed.forest_of(booster_of(model))
+    rows = None
+    for name, part in parts.items():
+        named = part.withColumn("part", F.lit(name))
+        rows = named if rows is None else rows.unionByName(named)
+    staged = packed.staged_margins(rows, [packed.Member(1, 0, forest)], [LABEL, "part"])
+    return packed.round_areas(staged, LABEL, by=["part"]).select("part", "round", "auc")
 
 
 def cross_validate(estimator: Estimator, df: DataFrame, folds: int = 5, parallelism: int = 4,
@@ -298,17 +355,14 @@ def cross_validate(estimator: Estimator, df: DataFrame, folds: int = 5, parallel
 
 
 def ensemble_mean(train: DataFrame, unlabelled: DataFrame, params: BoostParams, copies: int = 10,
-                  parallelism: int = 4, make: Callable[[BoostParams], Estimator] | None = None) -> DataFrame:
+                  parallelism: int = 4) -> DataFrame:
     """Mean score of ``copies`` boosters that differ in their seed, in one pass over ``unlabelled``."""
-    if make is None:
-        rows = train.count() if params.gamma else None
-        make = partial(train_gbt, rows=rows)
-    seeds = [replace(params, seed=params.seed + i) for i in range(copies)]
+    rows = train.count() if params.gamma else None
+
+    def fit(i: int) -> packed.Member:
+        model = train_gbt(replace(params, seed=params.seed + i), rows=rows).fit(train)
+        return packed.Member(i + 1, 0, packed.forest_of(model))
     with ThreadPool(min(parallelism, copies)) as pool:
-        models = pool.map(lambda p: make(p).fit(train), seeds)
-    scored = unlabelled
-    for i, model in enumerate(models):
-        made = model.transform(scored)
-        scored = made.select(*scored.columns, vector_to_array("probability")[1].alias(f"_copy_{i}"))
-    mean = sum((F.col(f"_copy_{i}") for i in range(copies)), F.lit(0.0)) / copies
-    return scored.select(KEY, mean.alias(SCORE))
+        members = pool.map(fit, range(copies), chunksize=1)
+    margins = packed.staged_margins(unlabelled, members, [KEY], at={m.set_id: [m.forest.rounds] for m in members})
+    return margins.groupBy(KEY).agg(F.avg(packed.probability(F.col("margins")[0])).alias(SCORE))

@@ -25,9 +25,9 @@ SHARE_VALUES = {
     "city_decile": DECILES, "sic_group": BRANDS, "txn_category": ["0", "1", "2", "3"], "txn_type": ["F", "O"],
 }
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-# The longest account at the checked scale has 25 statements; the queries read the ranks from the data.
-RANKS = list(range(1, 26))
+RANKS = list(range(1, 15))
 BINS = 20
+FOLDS, ROUNDS = 3, 24
 
 
 def r(expr: str, name: str | None = None) -> str:
@@ -560,6 +560,9 @@ def oracle_sql() -> dict[str, str]:
     q["quarter_limits"] = "SELECT account_id, q, start_date, end_date FROM qlim"
     q["balance_delta"] = f"SELECT account_id, statement_id, {r('balance_delta')} FROM enr"
     q["statement_wide"] = rounded("swide", ["account_id"], WIDE_NAMES)
+    q["statement_series"] = (f"SELECT account_id, CAST((rank_from_last - 1) // 64 AS BIGINT) AS block, CAST(min(rank_from_last) AS INTEGER) AS first_rank, "
+                             f"count(*) AS n_ranks, {r('sum(credit_ratio)', 'sum_credit_ratio')}, {r('arg_min(total_balance, rank_from_last)', 'first_total_balance')}, "
+                             f"{r('arg_max(total_balance, rank_from_last)', 'last_total_balance')} FROM enr GROUP BY 1, 2")
     q["unpivot_long"] = " UNION ALL ".join(
         f"SELECT account_id, statement_id, '{m}' AS measure, {r(m, 'value')} FROM enr" for m in ("credit_ratio", "cash_ratio", "cash_on_credit_ratio"))
     q["summary_quarter"] = rounded("sumq", ["account_id"] + [c for c in STF_WIDE_INTS if "_Q" in c], [c for c in STF_WIDE_DOUBLES if "_Q" in c])
@@ -686,6 +689,20 @@ def oracle_sql() -> dict[str, str]:
     q["design_vector"] = ("SELECT account_id, default_flag, " + ", ".join(
         r(f"coalesce({c}, avg({c}) OVER ())", f"{c}_filled") + f", CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in filled)
         + " FROM acc LEFT JOIN pmonth USING (account_id)")
+    known = "(SELECT l.*, CASE WHEN default_flag IS NULL THEN 0 ELSE fold END AS part FROM (SELECT account_id, default_flag, " \
+            f"CAST((place - 1) % {FOLDS} + 1 AS INTEGER) AS fold FROM place) l)"
+    q["design_vector_by_fold"] = ("SELECT account_id, default_flag, fold, " + ", ".join(
+        f"round(coalesce({c}, CASE WHEN part = 0 THEN (SELECT avg({c}) FROM acc JOIN pmonth USING (account_id) WHERE default_flag IS NOT NULL) ELSE coalesce({c}_other, 0) END) + {NUDGE}, 6) + 0.0 AS {c}_filled"
+        for c in filled) + " FROM (SELECT k.account_id, k.default_flag, k.fold, k.part, " + ", ".join(
+        f"p.{c}, CASE WHEN k.part > 0 THEN (sum(p.{c}) FILTER (k.part > 0) OVER () - coalesce(sum(p.{c}) OVER (PARTITION BY k.part), 0)) "
+        f"/ nullif(count(p.{c}) FILTER (k.part > 0) OVER () - count(p.{c}) OVER (PARTITION BY k.part), 0) END AS {c}_other" for c in filled)
+        + f" FROM {known} k LEFT JOIN pmonth p USING (account_id))")
+    labelled = f"(SELECT account_id, default_flag, CAST((place - 1) % {FOLDS} + 1 AS INTEGER) AS fold FROM place WHERE default_flag IS NOT NULL)"
+    q["oof_predict_audit"] = f"SELECT account_id, default_flag, fold, true AS in_range FROM {labelled}"
+    q["round_areas"] = (f"SELECT fold, CAST(k AS INTEGER) AS round, count(*) FILTER (default_flag = 1) AS n_pos, "
+                        f"count(*) FILTER (default_flag = 0) AS n_neg, true AS is_area FROM {labelled}, range(1, {ROUNDS + 1}) AS x(k) GROUP BY 1, 2")
+    q["final_scores_audit"] = ("SELECT account_id, CAST(10 AS BIGINT) AS n_members, true AS in_range, true AS is_mean "
+                               "FROM acc WHERE default_flag IS NULL")
     index = ("(SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS {c}_index FROM {t} GROUP BY {c})")
     q["index_categories"] = (
         "SELECT account_id, coalesce(favorite_category_index, (SELECT CAST(count(DISTINCT favorite_category) AS DOUBLE) FROM favcat)) AS favorite_category_index, "

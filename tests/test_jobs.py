@@ -143,7 +143,8 @@ def test_importance_curve_and_best_round(vectors):
     losses = [r.loss for r in scoring.learning_curve(model, {"train": train}).orderBy("round").collect()]
     assert losses == sorted(losses, reverse=True) and len(losses) == 4
     assert 1 <= scoring.best_iteration(PARAMS, train, 3) <= 4
-    assert scoring._best_round([5, 4, 3, 3.5, 3.6, 1], patience=2) == 3
+    areas = scoring.area_curve(model, {"train": train, "again": train}).collect()
+    assert len(areas) == 8 and all(r.auc > 0.9 for r in areas)
 
 
 def test_linear_net_and_category_models(vectors):

@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from builders import months, random_ledger, statements
 
 from conftest import rows_of
@@ -60,6 +61,27 @@ def test_wide_series_has_a_column_per_rank(spark):
     assert row.balance_delta_t_minus_3 is None and float(row.balance_delta_t_minus_2) == 0
 
 
+def test_series_of_a_very_long_account(spark):
+    rows = spark.range(100_000).selectExpr("1L AS account_id", "CAST(id + 1 AS INT) AS rank_from_last", "id * 0.5D AS credit_ratio",
+                                           "CAST(NULL AS DOUBLE) AS balance_delta", "CAST(id AS DOUBLE) AS total_balance")
+    rows = rows.unionByName(rows.filter("rank_from_last <= 3").withColumn("account_id", F.lit(2).cast("long")))
+    series = st.statement_series(rows)
+    sizes = {(r.account_id, r.block): (r.ranks[0], len(r.ranks), len(r.credit_ratio)) for r in series.collect()}
+    assert len(sizes) == -(-100_000 // st.SERIES_BLOCK) + 1 and sizes[2, 0] == (1, 3, 3) and sizes[1, 2] == (129, 64, 64)
+    found = {r.account_id: r for r in st.values_at(series, [1, 64, 65, 100_000, 100_001]).collect()}
+    assert found[1].credit_ratio_t_minus_64 == 31.5 and found[1].total_balance_t_minus_65 == 64 and found[1].total_balance_t_minus_100000 == 99_999
+    assert found[1].total_balance_t_minus_100001 is None and found[1].balance_delta_t_minus_1 is None
+    assert found[2].total_balance_t_minus_1 == 0 and found[2].credit_ratio_t_minus_64 is None
+    assert st.wide_statement_features(rows).count() == 2 and len(st.wide_statement_features(rows).columns) == 43
+
+
+def test_series_and_columns_agree(spark):
+    enriched = st.enrich_statements(random_ledger(spark).statements)
+    wide = st.wide_statement_features(enriched, [1, 2, 30])
+    wide = wide.select("account_id", *[F.col(c).cast("double") for c in wide.columns[1:]])
+    assert rows_of(st.values_at(st.statement_series(enriched, block=4), [1, 2, 30], block=4).select(*wide.columns)) == rows_of(wide)
+
+
 @pytest.mark.parametrize("hot", [HotKeys((1, 2)), HotKeys(every=True)])
 def test_hot_accounts_give_the_same_columns(spark, hot):
     ledger = random_ledger(spark)
