@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfeat.llm.components import components
+from ledgerfeat.llm.stages import Stages
 from ledgerfeat.llm.text import shingle_set, texts_of
-from ledgerfeat.session import pin
 
 SHINGLE_WORDS = 5
 SKETCH = 48
@@ -91,16 +91,16 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
     for batch in batches:
         sets = [shingle_set(t, width) for t in texts_of(batch, "text")]
         own = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d.as_py() for s, d in zip(sets, batch.column("digest"))]
-        halves = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(halves, pa.binary())],
-            names=["id", "shingles", "halves"]).filter(pa.array(own, pa.bool_()))
+            [batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())],
+            names=["id", "shingles"]).filter(pa.array(own, pa.bool_()))
 
 
 def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         # Signed numbers in the order of the unsigned ones.
-        wide = [(np.frombuffer(h.as_buffer(), np.uint32)[:WIDE] ^ np.uint32(1 << 31)).view(np.int32) for h in batch.column("halves")]
+        halves = [np.unique((np.frombuffer(s.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)) for s in batch.column("shingles")]
+        wide = [(h[:WIDE] ^ np.uint32(1 << 31)).view(np.int32) for h in halves]
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(wide, pa.list_(pa.int32()))], names=["id", "wide"])
 
 
@@ -112,15 +112,14 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             [pa.array(ids, pa.int64()), pa.array(np.concatenate(sets) if sets else [], pa.int64())], names=["id", "shingle"])
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int, kind: type) -> Iterator[pa.RecordBatch]:
-    """Pairs that are like enough by their sets of ``kind``: whole hashes, or halves, which can only look more alike."""
+def _verify_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that are like enough by their full sets."""
     for batch in batches:
         keep = []
-        for left, right, nx, ny in zip(batch.column("left"), batch.column("right"), batch.column("na").to_pylist(),
-                                       batch.column("nb").to_pylist()):
-            x, y = np.frombuffer(left.as_buffer(), kind), np.frombuffer(right.as_buffer(), kind)
-            shared = len(np.intersect1d(x, y, assume_unique=True)) + min(nx - len(x), ny - len(y))
-            keep.append(100 * shared >= percent * (nx + ny - shared))
+        for left, right in zip(batch.column("left"), batch.column("right")):
+            x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
 
@@ -145,11 +144,12 @@ def _inverted_lists(classes: DataFrame, percent: int, sketch: int) -> DataFrame:
 class _Verifier:
     """Estimates pairs on sketches, then compares full sets."""
 
-    def __init__(self, members: DataFrame, texts: DataFrame, percent: int, width: int, sketch: int) -> None:
+    def __init__(self, members: DataFrame, texts: DataFrame, stages: Stages, percent: int, width: int, sketch: int) -> None:
         self.percent, self.sketch = percent, sketch
         self.members = members
         involved = texts.join(members.select("id", "digest", F.col("least").alias("doc")), "doc")
-        self.sets = pin(involved.select("id", "digest", "text").mapInArrow(lambda it: _set_batches(it, width), "id long, shingles binary, halves binary"))
+        self.sets = stages.write(involved.select("id", "digest", "text").mapInArrow(
+            lambda it: _set_batches(it, width), "id long, shingles binary"))
 
     def estimate(self, kept: int = 0, slack: int = 0) -> str:
         """Condition on sketches ``sa`` and ``sb`` of ``kept`` values: shared ones among the smallest of the union."""
@@ -161,7 +161,7 @@ class _Verifier:
 
     def wide_sketches(self, ids: DataFrame) -> DataFrame:
         """``id`` and its ``WIDE`` smallest hashes, shortened to their upper halves (order is kept)."""
-        return self.sets.join(ids, "id", "left_semi").select("id", "halves").mapInArrow(_wide_batches, "id long, wide array<int>")
+        return self.sets.mapInArrow(_wide_batches, "id long, wide array<int>").join(ids, "id", "left_semi")
 
     def close(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the union sketch does not rule out."""
@@ -177,19 +177,14 @@ class _Verifier:
         return held.where("holders = 1").groupBy("id").agg(F.count("*").alias("own"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) at or above the similarity, by halves of the hashes first and then by whole ones."""
-        return self._compared(self._compared(pairs, "halves", np.uint32), "shingles", np.uint64)
-
-    def _compared(self, pairs: DataFrame, column: str, kind: type) -> DataFrame:
-        sizes = F.floor(F.length("shingles") / 8).cast("long")
-        left = self.sets.select(F.col("id").alias("a"), sizes.alias("na"), F.col(column).alias("left"))
-        right = self.sets.select(F.col("id").alias("b"), sizes.alias("nb"), F.col(column).alias("right"))
+        """Pairs (a, b) at or above the similarity, by their full sets."""
+        left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
         # A set meets its partners in lists, cut by a salt, so that it is not repeated on the way to the first join.
         partners = pairs.groupBy("a", F.pmod(F.hash("b"), F.lit(64))).agg(F.collect_list("b").alias("bs"))
-        met = partners.join(left, "a").select("a", "na", "left", F.explode("bs").alias("b")).join(right, "b")
+        met = partners.join(left, "a").select("a", "left", F.explode("bs").alias("b")).join(right, "b")
         percent = self.percent
-        return (met.select("a", "b", "left", "right", "na", "nb")
-                .mapInArrow(lambda it: _verify_batches(it, percent, kind), "a long, b long"))
+        return met.select("a", "b", "left", "right").mapInArrow(lambda it: _verify_batches(it, percent), "a long, b long")
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
@@ -202,59 +197,60 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     of its own with a null component and is kept. Rows that repeat an id count as one document when their texts agree;
     otherwise their links are joined under that id. Other columns are not read. An empty table gives an empty table.
     """
-    rows = pin(sketches(docs, id_col, text_col, width, sketch))
-    classes = (rows.where("n > 0 AND id IS NOT NULL").groupBy("digest", "n")
-               .agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")))
-    # An id on several rows may stand for several classes; every class gets a number of its own.
-    classes = pin(classes.select(F.xxhash64("digest").alias("id"), "digest", "n", "sketch", F.col("id").alias("least")))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    lists = pin(_inverted_lists(classes, percent, sketch))
-    listed = pin(classes.join(lists.select("id").distinct(), "id", "left_semi"))
-    check = _Verifier(listed, texts, percent, width, sketch)
-    same_size = f"least(na, nb) * 100 >= {percent} * greatest(na, nb)"
-
-    # First round: members of a list against its most central member.
-    leaders = lists.groupBy("value").agg(F.max(F.struct("central", F.col("n").alias("nb"), F.col("id").alias("b"))).alias("l"))
-    pairs = (lists.select("value", F.col("id").alias("a"), F.col("n").alias("na"))
-             .join(leaders.select("value", "l.b", "l.nb"), "value").where(f"a <> b AND {same_size}").select("a", "b").distinct())
-    links = pin(check.verified(check.close(pairs)))
-    placed = pin(_placed(lists, links))
-    # Last round: what is left in different components of a list.
-    mixed = placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    open_rows = pin(placed.join(mixed.select("value"), "value", "left_semi"))
-    # A class with so many shingles of its own is like no other. Without it others have more of their own.
-    able_ids = open_rows.select("id", "n").distinct()
-    for _ in range(OWN_PASSES):
-        own = check.own_shingles(able_ids.select("id"))
-        able_ids = pin(able_ids.select("id", "n").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-                       .where(f"100 * (n - own) >= {percent} * n"))
-    able = (open_rows.join(able_ids.select("id", "own"), "id")
-            .join(check.wide_sketches(able_ids.select("id")).withColumnRenamed("wide", "sketch"), "id"))
-    left = able.select("value", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"),
-                       F.col("sketch").alias("sa"), (F.col("n") - F.col("own")).alias("ma"), F.col("listed").alias("la"))
-    right = able.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"),
-                        F.col("sketch").alias("sb"), (F.col("n") - F.col("own")).alias("mb"), F.col("listed").alias("lb"))
-    possible = f"(100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)"
-    first_meeting = "array_min(array_intersect(la, lb)) = value"
-    pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {possible} AND {first_meeting} AND {check.estimate(WIDE, HALF_SLACK)}")
-             .select("a", "b"))
-    links = links.unionByName(pin(check.verified(pairs)))
-
-    # Links between classes and, where one id holds several texts, between its classes.
-    held = rows.where("n > 0 AND id IS NOT NULL").select(F.col("id").alias("doc"), F.xxhash64("digest").alias("class"))
-    several = (held.distinct().groupBy("doc").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-               .where("a <> b").select("doc"))
-    same_id = (held.join(several, "doc").join(held.groupBy("doc").agg(F.min("class").alias("first")), "doc")
-               .select(F.col("class").alias("a"), F.col("first").alias("b")).distinct())
-    groups = components(links.unionByName(same_id))
-    least = (classes.join(groups, classes["id"] == groups["node"], "left")
-             .select(classes["digest"], F.coalesce("root", classes["id"]).alias("root"), "least"))
-    lowest = least.groupBy("root").agg(F.min("least").alias("component"))
-    found = least.join(lowest, "root").select("digest", "component")
-    out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")).join(found, "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+    with Stages(docs.sparkSession) as stages:
+        rows = stages.write(sketches(docs, id_col, text_col, width, sketch))
+        classes = (rows.where("n > 0 AND id IS NOT NULL").groupBy("digest", "n")
+                   .agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")))
+        # An id on several rows may stand for several classes; every class gets a number of its own.
+        classes = stages.write(classes.select(F.xxhash64("digest").alias("id"), "digest", "n", "sketch", F.col("id").alias("least")))
+        texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+        lists = stages.write(_inverted_lists(classes, percent, sketch))
+        listed = stages.write(classes.join(lists.select("id").distinct(), "id", "left_semi"))
+        check = _Verifier(listed, texts, stages, percent, width, sketch)
+        same_size = f"least(na, nb) * 100 >= {percent} * greatest(na, nb)"
+
+        # First round: members of a list against its most central member.
+        leaders = lists.groupBy("value").agg(F.max(F.struct("central", F.col("n").alias("nb"), F.col("id").alias("b"))).alias("l"))
+        pairs = (lists.select("value", F.col("id").alias("a"), F.col("n").alias("na"))
+                 .join(leaders.select("value", "l.b", "l.nb"), "value").where(f"a <> b AND {same_size}").select("a", "b").distinct())
+        links = stages.write(check.verified(check.close(pairs)))
+        placed = stages.write(_placed(lists, links))
+        # Last round: what is left in different components of a list.
+        mixed = placed.groupBy("value").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        open_rows = stages.write(placed.join(mixed.select("value"), "value", "left_semi"))
+        # A class with so many shingles of its own is like no other. Without it others have more of their own.
+        able_ids = open_rows.select("id", "n").distinct()
+        for _ in range(OWN_PASSES):
+            own = check.own_shingles(able_ids.select("id"))
+            able_ids = stages.write(able_ids.select("id", "n").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+                           .where(f"100 * (n - own) >= {percent} * n"))
+        able = (open_rows.join(able_ids.select("id", "own"), "id")
+                .join(check.wide_sketches(able_ids.select("id")).withColumnRenamed("wide", "sketch"), "id"))
+        left = able.select("value", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"),
+                           F.col("sketch").alias("sa"), (F.col("n") - F.col("own")).alias("ma"), F.col("listed").alias("la"))
+        right = able.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"),
+                            F.col("sketch").alias("sb"), (F.col("n") - F.col("own")).alias("mb"), F.col("listed").alias("lb"))
+        possible = f"(100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)"
+        first_meeting = "array_min(array_intersect(la, lb)) = value"
+        pairs = (left.join(right, "value").where(f"a < b AND pa <> pb AND {possible} AND {first_meeting} AND {check.estimate(WIDE, HALF_SLACK)}")
+                 .select("a", "b"))
+        links = links.unionByName(stages.write(check.verified(pairs)))
+
+        # Links between classes and, where one id holds several texts, between its classes.
+        held = rows.where("n > 0 AND id IS NOT NULL").select(F.col("id").alias("doc"), F.xxhash64("digest").alias("class"))
+        several = (held.distinct().groupBy("doc").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+                   .where("a <> b").select("doc"))
+        same_id = (held.join(several, "doc").join(held.groupBy("doc").agg(F.min("class").alias("first")), "doc")
+                   .select(F.col("class").alias("a"), F.col("first").alias("b")).distinct())
+        groups = components(links.unionByName(same_id))
+        least = (classes.join(groups, classes["id"] == groups["node"], "left")
+                 .select(classes["digest"], F.coalesce("root", classes["id"]).alias("root"), "least"))
+        lowest = least.groupBy("root").agg(F.min("least").alias("component"))
+        found = least.join(lowest, "root").select("digest", "component")
+        out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")).join(found, "digest", "left")
+        component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+        return stages.last(out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                                      (F.col("id").isNull() | (F.col("id") == component)).alias("kept")))
 
 
 def _placed(lists: DataFrame, links: DataFrame) -> DataFrame:
