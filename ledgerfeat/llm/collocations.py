@@ -32,6 +32,8 @@ TRIGGER = 6
 BUCKETS_A_WORD, FILTER_BITS = 16, 1 << 28
 #: Phrases of the corpus for each part of the buckets: what one task adds up.
 PART_PHRASES = 1 << 21
+#: Parts in which the phrases of a language are ordered before the last ordering.
+RANK_PARTS = 64
 #: Bytes of text, distinct chunks, and bytes of chunks handled at once.
 TEXT_SLICE, CHUNKS, CHUNK_SLICE = 1 << 20, 400_000, 1 << 22
 
@@ -280,6 +282,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         kept = (lowest.join(inner, ["lang", "phrase"], "left")
                 .where(f"longer IS NULL OR 100 * longer < {covered_percent} * a")
                 .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
-        order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-        ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+        order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+        # The first of every part hold the first of the language, so one task orders a bounded number of rows.
+        part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+        first = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("rank") <= top)
+        ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
         return stages.last(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
