@@ -12,7 +12,7 @@ import oracles
 from ledgerfeat.functions import columns as cols
 from ledgerfeat.functions.scalar import not_in
 from ledgerfeat.functions.stats import sample_kurtosis, sample_skewness
-from ledgerfeat.operators import audit, encode, payments, statements, summaries, transactions, trends
+from ledgerfeat.operators import audit, encode, payments, sparse, statements, summaries, transactions, trends
 from ledgerfeat.plans import features, final, scoring, search
 from ledgerfeat.session import ensure_checkpoint_dir, pin
 from ledgerfeat.sources import orders
@@ -226,6 +226,25 @@ def category_share(l: orders.Ledger) -> DataFrame:
     return transactions.category_share(profile, transactions.distinct_values(profile, "value"))
 
 
+#: Variables whose levels are numbered, however many there are.
+LEVEL_COLUMNS = [v for v in transactions.SHARE_COLUMNS if not v.endswith("_decile")]
+
+
+def levels_of(l: orders.Ledger) -> DataFrame:
+    return transactions.category_profile(l.transactions, [*LEVEL_COLUMNS, "city"])
+
+
+def sparse_totals(l: orders.Ledger) -> DataFrame:
+    """Size, entries and sum of the sparse vector of every account, one part of spending per variable."""
+    profile = pin(levels_of(l))
+    dictionary = pin(sparse.level_dictionary(profile))
+    vectors = sparse.sparse_vectors(sparse.numbered(sparse.share_entries(profile), dictionary), dictionary.count())
+    return vectors.select("account_id", scoring.vector_to_array("levels").alias("v")).select(
+        "account_id", F.size("v").cast("long").alias("size"),
+        F.size(F.filter("v", lambda x: x != 0)).cast("long").alias("n_levels"),
+        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("sum_shares"))
+
+
 def favorite(variable: str, name: str, **options) -> Query:
     return on_ledger(lambda l: transactions.favorite_value(
         transactions.category_profile(l.transactions, [variable]), variable, name, **options))
@@ -241,6 +260,9 @@ def transaction_queries() -> dict[str, Query]:
         **{f"spend_share_{v}": spend_share(v) for v in transactions.SHARE_COLUMNS},
         "category_share": on_ledger(category_share),
         "spend_share_events": on_events(lambda e: all_shares(e, "category")),
+        "share_entries": on_ledger(lambda l: sparse.share_entries(levels_of(l))),
+        "level_dictionary": on_ledger(lambda l: sparse.level_dictionary(levels_of(l))),
+        "sparse_vectors": on_ledger(sparse_totals),
         "share_of_total": on_ledger(lambda l: transactions.share_of_total(
             transactions.category_profile(l.transactions, ["category"]), "category")),
         "diversity_index": on_ledger(lambda l: transactions.diversity_index(

@@ -618,6 +618,15 @@ def oracle_sql() -> dict[str, str]:
                            f"(SELECT account_id, {share_cols('txn_category', SHARE_VALUES['txn_category'], 'txn_category_pct_amount_')} FROM txn GROUP BY account_id)")
     q["spend_share_events"] = (f"SELECT account_id, {share_round('category', EVENT_TYPES)} FROM "
                                f"(SELECT account_id, {share_cols('category', EVENT_TYPES)} FROM evt GROUP BY account_id)")
+    variables = [v for v in SHARE_VALUES if not v.endswith("_decile")] + ["city"]
+    entries = " UNION ALL ".join(
+        f"SELECT account_id, '{v}' AS variable, CAST({v} AS VARCHAR) AS value, CAST(sum(amount) AS DOUBLE) AS s FROM txn GROUP BY account_id, {v}" for v in variables)
+    shares = f"(SELECT *, s / nullif(sum(s) OVER (PARTITION BY account_id, variable), 0) AS share FROM ({entries}))"
+    q["share_entries"] = f"SELECT account_id, variable, value, {r('share')} FROM {shares}"
+    q["level_dictionary"] = ("SELECT variable, value, row_number() OVER (ORDER BY variable, value NULLS FIRST) - 1 AS index "
+                             f"FROM (SELECT DISTINCT variable, value FROM ({entries}))")
+    q["sparse_vectors"] = (f"SELECT account_id, (SELECT count(*) FROM (SELECT DISTINCT variable, value FROM ({entries}))) AS size, count(*) AS n_levels, "
+                           f"{r('sum(share)', 'sum_shares')} FROM {shares} WHERE share <> 0 GROUP BY account_id")
     q["share_of_total"] = (f"SELECT account_id, category, {r('s / sum(s) OVER (PARTITION BY account_id)', 'share')} FROM "
                            f"(SELECT account_id, category, {d('sum(amount)')} AS s FROM txn GROUP BY ALL)")
     q["diversity_index"] = (f"SELECT account_id, {r('index_city')}, {r('index_country')}, {r('index_category')} "
