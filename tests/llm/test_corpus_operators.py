@@ -392,9 +392,32 @@ def test_sites_overrule_names(spark):
     assert found[1000] == "Stay" and {found[1100 + i] for i in range(12)} == {body(7)}
 
 
+def test_names_and_links_against_text_that_is_new_on_each_page(spark):
+    def body(i, n=30):
+        return " ".join(words(n, 700 + i))
+
+    def menu(i):
+        return "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words(40, 5000 + i))
+
+    sites = {  # the body alone stays
+        "comments": lambda i: f"<article><p>{body(i)}</p></article><div class='comments'><p>{body(i + 100, 400)}</p></div>",
+        "inside": lambda i: f"<article><p>{body(i)}</p><div class='comment-list'><article>{body(i + 100, 400)}</article></div></article>",
+        "plain": lambda i: f"<div><p>{body(i)}</p></div><div class='comments'><p>{body(i + 100, 400)}</p></div>",
+        "menus": lambda i: f"<article><p>{body(i)}</p></article><ul class='x'>{menu(i)}</ul>",
+        "unnamed": lambda i: f"<div><p>{body(i)}</p></div><ul class='x'>{menu(i)}</ul>",
+        "named": lambda i: f"<div class='top'><p>{body(i)}</p></div><div class='site-menu'>{menu(i)}</div>",
+        "parts": lambda i: f"<article><section class='related-work'>{body(i)}</section></article><div class='main-footer'>x{i}</div>",
+        "share": lambda i: f"<article><div class='market-share'><a href='/'>{body(i)[:9]}</a>{body(i)[9:]}</div></article>"}
+    rows = [(n * 100 + i, f"http://{name}.org/{i}", page(i)) for n, (name, page) in enumerate(sites.items()) for i in range(12)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n, name in enumerate(sites):
+        assert all(found[n * 100 + i] == body(i) for i in range(12)), (name, found[n * 100], body(0))
+
+
 def test_main_branches_reset_what_stands_around():
     def priors(page):
-        return {t: p for _, p, t in html_extract.page_blocks(page)}
+        return {b.text: b.prior for b in html_extract.page_blocks(page)}
 
     assert priors("<body class='has-sidebar'><div>x</div></body>")["x"] == html_extract.NEUTRAL
     assert priors("<div class='with-sidebar'><div>x</div></div>")["x"] == html_extract.NEUTRAL
@@ -408,8 +431,10 @@ def test_main_branches_reset_what_stands_around():
 
 def test_deep_and_broken_markup():
     blocks = html_extract.page_blocks("<div>" * 3000 + "deep" + "</div>" * 10 + "<p a='unclosed>x")
-    assert blocks[0][2] == "deep"
-    assert html_extract.page_blocks("a < b && c > d")[0][2] == html.unescape("a < b && c > d")
+    assert blocks[0].text == "deep"
+    blocks = html_extract.page_blocks("<div>" * 50000 + "deep<span>" + "</i>" * 50000 + "<p>x")  # unclosed tags cost no more by depth
+    assert [b.text for b in blocks] == ["deep", "x"]
+    assert html_extract.page_blocks("a < b && c > d")[0].text == html.unescape("a < b && c > d")
 
 
 def plain_chat(rows):
