@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfeat.llm.stages import Stages
 from ledgerfeat.llm.text import texts_of
-from ledgerfeat.session import pin
 
 #: Shares of the prior, the presentation and the content in a node's importance, and the least importance to stay.
 PRIOR_SHARE, PRESENTATION_SHARE, CONTENT_SHARE = 0.6, 0.08, 0.32
@@ -316,11 +316,12 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     nodes = source.select("page", "host", "html").mapInArrow(
         _node_batches, "page long, host long, node long, branch long, prior double, blocks long, texts array<long>, "
         "part long, links long, left long")
-    # The same page under several ids tells nothing about its site. Five readers follow, so pages are parsed once for all.
-    nodes = pin(nodes.dropDuplicates(["page", "node"]))
-    tree = style_tree(nodes)
-    low = (nodes.select("page", "host", "node", "prior").join(tree, ["host", "node"])
-           .where(F.col("prior") * PRIOR_SHARE + F.col("evidence") < LEAST_IMPORTANCE)
-           .groupBy("page").agg(F.collect_set("node").alias("low")))  # nodes of one page
+    with Stages(pages.sparkSession) as stages:
+        # The same page under several ids tells nothing about its site. Five readers follow, so pages are parsed once for all.
+        nodes = stages.write(nodes.dropDuplicates(["page", "node"]))
+        low = (nodes.select("page", "host", "node", "prior").join(style_tree(nodes), ["host", "node"])
+               .where(F.col("prior") * PRIOR_SHARE + F.col("evidence") < LEAST_IMPORTANCE)
+               .groupBy("page").agg(F.collect_set("node").alias("low")))  # nodes of one page
+        low = stages.last(low)
     return (source.join(low, "page", "left").select("page_id", "url", "html", "low")
             .mapInArrow(_text_batches, "page_id long, url string, text string, n_chars long"))
