@@ -323,5 +323,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                .where(F.col("prior") * PRIOR_SHARE + F.col("evidence") < LEAST_IMPORTANCE)
                .groupBy("page").agg(F.collect_set("node").alias("low")))  # nodes of one page
         low = stages.last(low)
-    return (source.join(low, "page", "left").select("page_id", "url", "html", "low")
+    # Lists of nodes grow with the pages: one join at every size.
+    return (source.join(low.hint("merge"), "page", "left").select("page_id", "url", "html", "low")
             .mapInArrow(_text_batches, "page_id long, url string, text string, n_chars long"))
