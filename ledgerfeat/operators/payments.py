@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +15,8 @@ from ledgerfeat.operators.statements import NAMED_RANKS, wide_series
 
 # Fixed value: days added to the time until the last statement when a bill is still unpaid.
 UNPAID_EXTRA_DAYS = 60
+#: A date has fewer than 2 ** 22 values in the years 1 to 9999, and so many entries a calendar at most.
+CALENDAR_BITS = 22
 
 
 def daily_payments(payments: DataFrame) -> DataFrame:
@@ -29,42 +31,66 @@ def running_paid(payments: DataFrame) -> DataFrame:
 
 
 def payment_calendar(payments: DataFrame) -> DataFrame:
-    """One row per account: its payment days in order, with daily and running amounts.
+    """One row per account: its payment days in order, with daily and running amounts and the highest running amount so far.
 
     The array has at most one entry per calendar day, whatever the number of payments.
     """
-    entry = F.struct("day", "amount", "paid_so_far")
-    return running_paid(payments).groupBy("account_id").agg(
+    w = W.partitionBy("account_id").orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    entry = F.struct("day", "amount", "paid_so_far", "peak")
+    return running_paid(payments).withColumn("peak", F.max("paid_so_far").over(w)).groupBy("account_id").agg(
         F.sort_array(F.collect_list(entry)).alias("_calendar"))
 
 
+def _entries_while(holds: Callable[[Column], Column]) -> Column:
+    """Number of first calendar entries for which ``holds``, by binary search; ``holds`` must not come back once it ended."""
+    size = F.size("_calendar")
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(CALENDAR_BITS))])
+    return F.aggregate(powers, F.lit(0), lambda n, p: F.when(
+        (n + p <= size) & holds(F.get(F.col("_calendar"), n + p - 1)), n + p).otherwise(n))
+
+
 def _with_payments_from(statements: DataFrame, payments: DataFrame, hot: HotKeys) -> DataFrame:
-    """Statements with ``_from``: the account's payment days on or after the statement."""
+    """Statements with the account's ``_calendar`` and the place in it (``_first``) of the first day on or after the statement."""
     joined = join_per_key(statements, payment_calendar(payments), "account_id", hot)
-    return joined.withColumn(
-        "_from", F.filter("_calendar", lambda p: p["day"] >= F.col("statement_date"))
-    ).drop("_calendar")
+    before = _entries_while(lambda p: p["day"] < F.col("statement_date"))
+    return joined.withColumn("_first", F.when(F.col("statement_date").isNotNull(), before))
+
+
+def _entry(place: Column) -> Column:
+    return F.get(F.col("_calendar"), place)
 
 
-def _paid_before(entry: Column) -> Column:
-    return entry["paid_so_far"] - entry["amount"]
+def _paid_before_first() -> Column:
+    first = _entry(F.col("_first"))
+    return first["paid_so_far"] - first["amount"]
 
 
 def _paid_until_next() -> Column:
-    inside = F.filter("_from", lambda p: p["day"] < F.col("next_statement_date"))
+    before_next = _entries_while(lambda p: p["day"] < F.col("next_statement_date"))
     return F.coalesce(
-        F.get(inside, F.size(inside) - 1)["paid_so_far"] - _paid_before(F.get(F.col("_from"), F.lit(0))),
-        F.lit(0))
+        F.when(before_next > F.col("_first"), _entry(before_next - 1)["paid_so_far"] - _paid_before_first()), F.lit(0))
 
 
 def _next_payment_date() -> Column:
-    return F.get(F.col("_from"), F.lit(0))["day"]
+    return _entry(F.col("_first"))["day"]
 
 
 def _full_payment_date() -> Column:
-    start = _paid_before(F.get(F.col("_from"), F.lit(0)))
-    reached = F.filter("_from", lambda p: p["paid_so_far"] - start >= F.col("total_balance"))
-    return F.get(reached, F.lit(0))["day"]
+    """First day from ``_first`` on at which the bill is paid.
+
+    The highest running amounts rise, so they can be searched. Only where they had reached the goal before the
+    statement, and reversals took it back, the days that follow are looked through one by one.
+    """
+    start, owed = _paid_before_first(), F.col("total_balance")
+
+    def reached(amount: Column) -> Column:
+        return F.coalesce(amount - start >= owed, F.lit(False))
+
+    later = F.slice("_calendar", F.col("_first") + 1, F.size("_calendar"))
+    looked_through = F.get(F.filter(later, lambda p: reached(p["paid_so_far"])), F.lit(0))["day"]
+    searched = _entry(_entries_while(lambda p: ~reached(p["peak"])))["day"]
+    return F.when(start.isNotNull() & owed.isNotNull(),
+                  F.when(reached(_entry(F.col("_first") - 1)["peak"]), looked_through).otherwise(searched))
 
 
 def pct_paid(enriched: DataFrame, payments: DataFrame, hot: HotKeys = NONE) -> DataFrame:
@@ -100,10 +126,9 @@ def payments_after(statements: DataFrame, payments: DataFrame, hot: HotKeys = NO
         statements.select("account_id", "statement_id", "statement_date"), payments, hot
     ).select(
         "account_id", "statement_id",
-        F.coalesce(F.size("_from"), F.lit(0)).cast("long").alias("payment_days"),
+        F.coalesce(F.size("_calendar") - F.col("_first"), F.lit(0)).cast("long").alias("payment_days"),
         F.coalesce(
-            F.get(F.col("_from"), F.size("_from") - 1)["paid_so_far"] - _paid_before(F.get(F.col("_from"), F.lit(0))),
-            F.lit(0)).cast("double").alias("amount_after"),
+            _entry(F.size("_calendar") - 1)["paid_so_far"] - _paid_before_first(), F.lit(0)).cast("double").alias("amount_after"),
     )
 
 
@@ -139,7 +164,7 @@ def bill_outcomes(enriched: DataFrame, payments: DataFrame, hot: HotKeys = NONE)
             "is_last_statement", "total_balance"),
         payments, hot)
     dated = bills.select(
-        *[c for c in bills.columns if c != "_from"],
+        *[c for c in bills.columns if c not in ("_calendar", "_first")],
         _next_payment_date().alias("next_payment_date"),
         _full_payment_date().alias("full_payment_date"),
     ).withColumns({

@@ -54,6 +54,27 @@ def test_reversed_amounts_do_not_hide_an_earlier_full_payment(spark):
     assert outcomes(spark, months(1, 1), pay)[1].full_payment_date == date(2017, 1, 16)
 
 
+def test_peak_before_the_statement_does_not_pay_it(spark):
+    stm = [(1, 1, date(2017, 3, 1), 100, 0, 1000, 0), (1, 2, date(2017, 4, 1), 30, 0, 1000, 0)]
+    pay = [(1, date(2017, 1, 1), 500), (1, date(2017, 2, 1), -450), (1, date(2017, 3, 2), 60), (1, date(2017, 3, 9), 60),
+           (1, date(2017, 4, 2), -20), (1, date(2017, 4, 3), 50)]
+    out = outcomes(spark, stm, pay)
+    assert out[1].next_payment_date == date(2017, 3, 2) and out[1].full_payment_date == date(2017, 3, 9)
+    assert out[2].full_payment_date == date(2017, 4, 3)
+
+
+def test_payment_without_amount(spark):
+    pay = [(1, date(2017, 1, 2), None), (1, date(2017, 1, 20), 40), (1, date(2017, 1, 25), 60)]
+    assert outcomes(spark, months(1, 1), pay)[1].full_payment_date == date(2017, 1, 25)
+
+
+def test_long_calendar_is_searched(spark):
+    days = [date(1990, 1, 1) + timedelta(i) for i in range(9000)]
+    stm = [(1, i, days[i], 25, 0, 1000, 0) for i in range(0, 8900, 13)]
+    out = outcomes(spark, stm, [(1, d, 1) for d in days])
+    assert all(r.full_payment_date == days[i + 24] and r.next_payment_date == days[i] for i, r in out.items())
+
+
 def test_never_paid_account(spark):
     row = outcomes(spark, months(1, 1), [])[1]
     assert row.next_delay is None and row.full_delay_capped == 60
