@@ -2,11 +2,13 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from builders import months, random_ledger, statements
+from builders import accounts, months, payments, random_ledger, statements, transactions
 
 from conftest import rows_of
 from ledgerfeat.operators import statements as st
 from ledgerfeat.operators.skew import HotKeys
+from ledgerfeat.plans.features import FeaturePlan
+from ledgerfeat.sources.readers import Ledger
 
 
 def test_balance_below_cash_and_null_balance(spark):
@@ -89,3 +91,11 @@ def test_hot_accounts_give_the_same_columns(spark, hot):
     split = st.enrich_statements(ledger.statements, hot)
     assert split.columns == plain.columns
     assert rows_of(split) == rows_of(plain)
+
+
+def test_plan_gives_every_rank_a_column(spark):
+    plan = FeaturePlan(Ledger(accounts(spark, [(1, 0)]), statements(spark, months(1, 20)), payments(spark, [(1, date(2017, 1, 20), 100)]),
+                              transactions(spark, [])))
+    wide, paid = plan.wide_statements.first(), plan.paid_summary.first()
+    assert wide.total_balance_t_minus_20 == 100 and "total_balance_t_minus_21" not in wide
+    assert paid.pct_paid_t_minus_20 == 1.0 and paid.pct_paid_t_minus_15 == 0.0
