@@ -49,3 +49,11 @@ def sparse_vectors(entries: DataFrame, size: int, name: str = "levels") -> DataF
     rows = known.groupBy("account_id").agg(F.sort_array(F.collect_list(F.struct("index", "share"))).alias("_entries"))
     vector = F.udf(lambda indices, values: SparseVector(size, indices, values), VectorUDT())
     return rows.select("account_id", vector("_entries.index", "_entries.share").alias(name))
+
+
+def vector_totals(vectors: DataFrame, name: str = "levels") -> DataFrame:
+    """``size``, ``n_levels`` (entries) and ``sum_shares`` of every vector; its places without an entry are never written out."""
+    def totals(v):
+        return int(v.size), int(v.numNonzeros()), sum(v.values.tolist())
+    found = F.udf(totals, "size long, n_levels long, sum_shares double")
+    return vectors.select("account_id", found(name).alias("_totals")).select("account_id", "_totals.*")

@@ -37,3 +37,9 @@ def test_fifty_thousand_levels_train_a_model(spark):
     assert made.first().features.numNonzeros() < 200
     scores = {r.account_id: r.default_score for r in scoring.score(scoring.train_logistic_l1().fit(made), made).collect()}
     assert len(scores) == 400 and min(v for k, v in scores.items() if k % 3 == 0) > max(v for k, v in scores.items() if k % 3)
+
+
+def test_totals_of_vectors_with_a_billion_places(spark):
+    entries = spark.createDataFrame([(1, 5, 0.25), (1, 999_999_999, 0.5), (2, 0, 1.0)], "account_id long, index long, share double")
+    totals = sparse.vector_totals(sparse.sparse_vectors(entries, 1_000_000_000))
+    assert rows_of(totals) == [(1, 1_000_000_000, 2, 0.75), (2, 1_000_000_000, 1, 1.0)]
