@@ -58,3 +58,11 @@ def test_counted_transactions_find_the_same_hot_accounts(spark):
     floor = whole.agg(F.max("rows")).first()[0]
     hot = ledger.with_hot_accounts(floor=floor).hot_transactions
     assert hot.keys == tuple(sorted(r[0] for r in whole.filter(F.col("rows") >= floor).collect()))
+
+
+def test_orders_are_counted_in_as_many_tasks_as_the_input_asks_for(spark, monkeypatch):
+    monkeypatch.setattr(orders, "ORDERS_PER_TASK", 40)
+    counts = orders.transaction_counts(spark, "/root/testdata/sf0.001")
+    tasks = -(-spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count() // 40)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"hashpartitioning\([lo]_orderkey#\d+L?, (\d+)\)", plan)) == {str(tasks)}
