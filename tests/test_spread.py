@@ -6,6 +6,7 @@ import pytest
 from builders import random_ledger
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import rows_of
 from ledgerfeat.operators import summaries, transactions
 from ledgerfeat.operators.skew import NONE, HotKeys
@@ -66,3 +67,10 @@ def test_orders_are_counted_in_as_many_tasks_as_the_input_asks_for(spark, monkey
     tasks = -(-spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count() // 40)
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"hashpartitioning\([lo]_orderkey#\d+L?, (\d+)\)", plan)) == {str(tasks)}
+
+
+def test_levels_are_made_in_as_many_tasks_as_the_input_asks_for(spark, monkeypatch):
+    ledger = random_ledger(spark)
+    monkeypatch.setattr(readers, "ACCOUNTS_PER_TASK", 1)
+    tasks = max(ledger.accounts.count(), spark.sparkContext.defaultParallelism)
+    assert entry.levels_of(ledger).rdd.getNumPartitions() == tasks
