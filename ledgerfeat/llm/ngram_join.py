@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfeat.llm.components import components
@@ -162,9 +163,11 @@ def block_links(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
 def _lists(inputs: DataFrame) -> DataFrame:
     """Rows (column, node, n, central) of the lists: the rarest of every row's first columns that other rows hold too."""
     entries = inputs.where("first IS NOT NULL").select("node", "n", "listed", F.size("first").alias("held"), F.explode("first").alias("column"))
-    rows = entries.groupBy("column").agg(F.count("*").alias("df")).where("df > 1")
-    # A set that several tasks met comes several times; its columns are counted so, but listed once.
-    shared = (entries.join(rows, "column").groupBy("node", "n", "listed", "held")
+    # Counted where the rows of a column meet anyway: entries are made and shuffled once. A set that several tasks met comes
+    # several times; it shares nothing with itself, and its columns are listed once.
+    same = W.partitionBy("column")
+    met = entries.select("*", F.count("*").over(same).alias("df"), F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"))
+    shared = (met.where("low < high").groupBy("node", "n", "listed", "held")
               .agg(F.sort_array(F.collect_set(F.struct("df", "column"))).alias("shared")))
     room = F.greatest(F.col("listed") - (F.col("held") - F.size("shared")), F.lit(0)).cast("int")
     return shared.select("node", "n", (F.size("shared") / F.col("held")).alias("central"),

@@ -226,3 +226,11 @@ def test_every_phrase_belongs_to_one_chunk():
     chunks = collocations.parse(text.encode())
     assert sum(own for own, _ in chunks) == len(starts) and len(chunks) > first.sum()
     assert all(own <= len(chunk.split()) <= own + 2 for own, chunk in chunks)
+
+
+def test_lists_shuffle_their_entries_once(spark):
+    rows = spark.createDataFrame([(1, 2, 2, [5, 6]), (2, 2, 2, [6, 7]), (2, 2, 2, [6, 7]), (3, 1, 1, [9])],
+                                 "node long, n long, listed long, first array<long>")
+    lists = ngram_join._lists(rows)
+    assert lists._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(column#") == 1
+    assert sorted((r["node"], r["column"]) for r in lists.collect()) == [(1, 6), (2, 6)]
