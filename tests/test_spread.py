@@ -11,7 +11,7 @@ from conftest import rows_of
 from ledgerfeat.operators import summaries, transactions
 from ledgerfeat.operators.skew import NONE, HotKeys
 from ledgerfeat.plans.features import FeaturePlan
-from ledgerfeat.session import account_stage
+from ledgerfeat.session import account_stage, file_stage
 from ledgerfeat.sources import orders, readers
 
 
@@ -74,3 +74,10 @@ def test_levels_are_made_in_as_many_tasks_as_the_input_asks_for(spark, monkeypat
     monkeypatch.setattr(readers, "ACCOUNTS_PER_TASK", 1)
     tasks = max(ledger.accounts.count(), spark.sparkContext.defaultParallelism)
     assert entry.levels_of(ledger).rdd.getNumPartitions() == tasks
+
+
+def test_stages_are_written_with_the_stronger_compression(spark):
+    rows = spark.range(50).withColumnRenamed("id", "account_id")
+    for staged in (account_stage(spark, 3)(rows), file_stage(rows)):
+        files = staged.inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files) and staged.count() == 50
