@@ -34,8 +34,8 @@ BUCKETS_A_WORD, FILTER_BITS = 16, 1 << 28
 PART_PHRASES = 1 << 21
 #: Parts in which the phrases of a language are ordered before the last ordering.
 RANK_PARTS = 64
-#: Bytes of text, distinct chunks, and bytes of chunks handled at once.
-TEXT_SLICE, CHUNKS, CHUNK_SLICE = 1 << 20, 400_000, 1 << 22
+#: Bytes of text, distinct chunks, and bytes of chunks handled at once; texts or chunks in an Arrow batch.
+TEXT_SLICE, CHUNKS, CHUNK_SLICE, BATCH_ROWS = 1 << 19, 150_000, 1 << 20, 2_000
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -154,12 +154,15 @@ class _Phrases:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Phrases]:
     """The chunks of several batches together, up to about ``CHUNK_SLICE`` bytes."""
     waiting: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         if batch.num_rows:
             waiting.append(batch)
-        if sum(b.column("chunk").nbytes for b in waiting) > CHUNK_SLICE:
+            size += batch.column("chunk").nbytes
+        if size > CHUNK_SLICE:
             yield _Phrases(pa.Table.from_batches(waiting))
             waiting.clear()
+            size = 0
     if waiting:
         yield _Phrases(pa.Table.from_batches(waiting))
 
@@ -255,7 +258,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     the words of the language. Null texts are empty, a null language is ``und``, repeated rows count again, other columns
     are not read, and an empty table gives an empty table. Products are exact for up to 10**15 words.
     """
-    with Stages(docs.sparkSession) as stages:
+    with Stages(docs.sparkSession, BATCH_ROWS) as stages:
         chunks = stages.write(dictionary(docs, text_col, lang_col, longest))
         counted = stages.write(phrase_counts(chunks, stages, least, longest))
         totals = chunks.groupBy("lang").agg(F.sum(F.col("freq") * F.col("own")).alias("n"))
