@@ -33,6 +33,8 @@ MISS = 1e-9
 #: Values in the sketches of the last round; sets with a smaller union are compared whole there. Halves of hashes may meet
 #: by chance, which the slack makes good.
 WIDE, HALF_SLACK = 256, 2
+#: Texts, sets or pairs of sets in an Arrow batch.
+BATCH_ROWS = 512
 #: How often classes that cannot be in a link are left out before pairs are met.
 OWN_PASSES = 2
 
@@ -197,7 +199,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     of its own with a null component and is kept. Rows that repeat an id count as one document when their texts agree;
     otherwise their links are joined under that id. Other columns are not read. An empty table gives an empty table.
     """
-    with Stages(docs.sparkSession) as stages:
+    with Stages(docs.sparkSession, BATCH_ROWS) as stages:
         rows = stages.write(sketches(docs, id_col, text_col, width, sketch))
         classes = (rows.where("n > 0 AND id IS NOT NULL").groupBy("digest", "n")
                    .agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")))

@@ -7,7 +7,7 @@ import tracemalloc
 
 import pyarrow as pa
 
-from ledgerfeat.llm import collocations
+from ledgerfeat.llm import collocations, near_dedup
 from ledgerfeat.llm.stages import BATCH_ROWS, Stages
 
 
@@ -36,3 +36,11 @@ def test_stages_bound_arrow_batches(spark):
         seen = stages.write(spark.range(0, 1000, 1, 1).mapInArrow(sizes, "rows long"))
         assert [r.rows for r in seen.collect()] == [100] * 10
     assert spark.conf.get(BATCH_ROWS) == before
+
+
+def test_near_duplicates_bound_arrow_batches(spark, monkeypatch):
+    seen, write = [], Stages.write
+    monkeypatch.setattr(Stages, "write", lambda self, df: (seen.append(int(self.spark.conf.get(BATCH_ROWS))), write(self, df))[1])
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i {i % 3}") for i in range(9)], "doc_id long, text string")
+    assert near_dedup.near_duplicate_groups(docs).where("kept").count() == 3
+    assert seen and max(seen) <= 512
