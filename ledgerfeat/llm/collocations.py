@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfeat.llm.buckets import bucket_filter, full_buckets, grouped, packed_counts, passes
 from ledgerfeat.llm.text import mix, span_hashes
 from ledgerfeat.llm.stages import Stages
 
@@ -167,54 +168,29 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Phrases]:
         yield _Phrases(pa.Table.from_batches(waiting))
 
 
-def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the sums of their weights, and one place of each."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
-    return ordered[heads], np.add.reduceat(weights[order], heads) if len(heads) else weights[:0], order[heads]
-
-
 def _bucket_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int, part_bits: int) -> Iterator[pa.RecordBatch]:
     """Buckets and counts of a slice by the bucket's first bits, as arrays of its other bits and of counts."""
-    low = np.uint64(bucket_bits - part_bits)
     for phrases in _slices(batches):
         keys, weights = [], []
         for n in range(1, longest + 1):
             at, hashes = phrases.of_length(n)
             keys.append(hashes >> np.uint64(64 - bucket_bits))
             weights.append(phrases.weight[at])
-        buckets, sums, _ = _grouped(np.concatenate(keys), np.concatenate(weights))
-        parts, starts = np.unique(buckets >> low, return_index=True)
-        rest = (buckets & ((np.uint64(1) << low) - np.uint64(1))).astype(np.uint32)
-        ends = np.append(starts[1:], len(buckets)).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(parts.astype(np.int64)), pa.array([rest[a:b].tobytes() for a, b in zip(starts.tolist(), ends)], pa.binary()),
-             pa.array([sums[a:b].tobytes() for a, b in zip(starts.tolist(), ends)], pa.binary())], names=["part", "buckets", "counts"])
-
-
-def _full_buckets(part: pa.Table, least: int, low: int) -> pa.Table:
-    """The buckets of a part with at least ``least`` phrases over all slices."""
-    keys = np.frombuffer(b"".join(part.column("buckets").to_pylist()), np.uint32)
-    sums = np.frombuffer(b"".join(part.column("counts").to_pylist()), np.int64)
-    buckets, sums, _ = _grouped(keys, sums)
-    first = part.column("part")[0].as_py() << low
-    return pa.table({"bucket": pa.array(buckets[sums >= least].astype(np.int64) + first)})
+        buckets, sums, _ = grouped(np.concatenate(keys), np.concatenate(weights))
+        yield packed_counts(buckets, sums, bucket_bits - part_bits)
 
 
 def _phrase_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    mask = np.uint64(len(bits) * 64 - 1)
     for phrases in _slices(batches):
         for n in range(1, longest + 1):
             at, hashes = phrases.of_length(n)
-            spot = (hashes >> np.uint64(64 - bucket_bits)) & mask
-            at = at[(bits[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1]
+            at = at[passes(bits, hashes >> np.uint64(64 - bucket_bits))]
             # Occurrences are joined by two hashes, of the words and of the bytes, so that equal ones are the same phrase.
             key = phrases.salt[at]
             for i in range(n):
                 key = key * _STEP + phrases.words[at + i]
             other = span_hashes(phrases.data, phrases.starts[at], phrases.ends[at + n - 1])
-            keys, sums, places = _grouped(mix(key) ^ other, phrases.weight[at])
+            keys, sums, places = grouped(mix(key) ^ other, phrases.weight[at])
             at = at[places]
             texts = [b" ".join(phrases.data[s:e].split()) for s, e in zip(phrases.starts[at].tolist(), phrases.ends[at + n - 1].tolist())]
             yield pa.RecordBatch.from_arrays(
@@ -222,26 +198,14 @@ def _phrase_batches(batches: Iterator[pa.RecordBatch], longest: int, bucket_bits
                  pa.array(np.full(len(at), n, np.int32)), pa.array(sums)], names=["lang", "phrase", "n_words", "f"])
 
 
-def bucket_filter(buckets: DataFrame) -> np.ndarray:
-    """Bit filter over the column ``bucket``; at most ``FILTER_BITS`` bits reach the driver, whatever the input."""
-    wanted = max(1 << 10, 16 * buckets.count())
-    size = min(FILTER_BITS, 1 << (wanted - 1).bit_length())
-    spot = F.col("bucket").bitwiseAND(size - 1)
-    words = (buckets.select(F.shiftright(spot, 6).alias("word"), F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
-    bits = np.zeros(size // 64, np.int64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return bits.view(np.uint64)
-
-
 def phrase_counts(chunks: DataFrame, stages: Stages, least: int, longest: int = LONGEST) -> DataFrame:
     """``lang``, ``phrase``, ``n_words`` and the exact number of occurrences ``f`` of all phrases with ``f >= least``."""
     words = chunks.agg(F.sum(F.col("freq") * F.col("own"))).first()[0] or 0
     bucket_bits = max(10, (BUCKETS_A_WORD * words).bit_length())
     part_bits = (longest * words // PART_PHRASES).bit_length()
     parts = chunks.mapInArrow(lambda it: _bucket_batches(it, longest, bucket_bits, part_bits), "part long, buckets binary, counts binary")
-    full = stages.write(parts.groupBy("part").applyInArrow(lambda part: _full_buckets(part, least, bucket_bits - part_bits), "bucket long"))
-    bits = chunks.sparkSession.sparkContext.broadcast(bucket_filter(full))
+    full = stages.write(parts.groupBy("part").applyInArrow(lambda part: full_buckets(part, least, bucket_bits - part_bits), "bucket long"))
+    bits = chunks.sparkSession.sparkContext.broadcast(bucket_filter(full, FILTER_BITS))
     found = chunks.mapInArrow(lambda it: _phrase_batches(it, longest, bucket_bits, bits.value), "lang string, phrase binary, n_words int, f long")
     return (found.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
             .select("lang", F.col("phrase").cast("string").alias("phrase"), "n_words", "f"))

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerfeat.llm.buckets import bucket_filter, full_buckets, grouped, packed_counts, passes
 from ledgerfeat.llm.components import components
 from ledgerfeat.llm.stages import Stages
 from ledgerfeat.llm.text import shingle_set
@@ -37,6 +38,9 @@ NGRAM_WORDS = 4
 #: matches added up at once.
 BEYOND = 15
 CELLS, MATCHES = 1 << 18, 1 << 22
+#: Hashed buckets for each entry of the first block, rounded up to a power of two; entries for each part of the buckets, and
+#: entries of a task counted at once; texts or rows in an Arrow batch.
+BUCKETS_AN_ENTRY, PART_ENTRIES, SLICE, BATCH_ROWS = 16, 1 << 21, 1 << 20, 2_000
 
 
 def least_prefix(n: int, percent: int) -> int:
@@ -55,24 +59,74 @@ def left_out(n: int, percent: int) -> int:
     return first_block(least, percent) - least_prefix(least, percent)
 
 
-def _row_batches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Set sizes and digests; the first columns for the first row of its set in a task."""
+def _grams(text: pa.Scalar, width: int) -> tuple[np.ndarray, bytes]:
+    grams = shingle_set((text.as_py() or b"").decode("utf-8", "replace"), width)
+    return grams, hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+
+
+def _size_batches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Set sizes and digests, and the columns of the first block."""
+    for batch in batches:
+        made = [_grams(text, width) for text in batch.column("text")]
+        sizes = [len(g) for g, _ in made]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array([d for _, d in made], pa.binary()),
+             pa.array([first_block(n, percent) if n else 0 for n in sizes], pa.int64())], names=["id", "n", "digest", "held"])
+
+
+def _new_sets(batch: pa.RecordBatch, width: int, seen: set[bytes]) -> Iterator[tuple[np.ndarray, bytes]]:
+    """The sets of a batch that the task has not met before."""
+    for text in batch.column("text"):
+        grams, digest = _grams(text, width)
+        if len(grams) and digest not in seen:
+            seen.add(digest)
+            yield grams, digest
+
+
+def _column_batches(batches: Iterator[pa.RecordBatch], width: int, percent: int, bucket_bits: int, low: int) -> Iterator[pa.RecordBatch]:
+    """Buckets of the first columns and how many sets of the task hold them (one or more), by parts."""
+    seen: set[bytes] = set()
+    waiting: list[np.ndarray] = []
+    mask = np.uint64((1 << bucket_bits) - 1)
+
+    def out() -> pa.RecordBatch:
+        keys = np.concatenate(waiting) & mask
+        waiting.clear()
+        buckets, counts, _ = grouped(keys, np.ones(len(keys), np.int64))
+        return packed_counts(buckets, np.minimum(counts, 2), low, np.uint8)
+
+    held = 0
+    for batch in batches:
+        for grams, _ in _new_sets(batch, width, seen):
+            waiting.append(grams[:first_block(len(grams), percent)].copy())
+            held += len(waiting[-1])
+            if held > SLICE:
+                held = 0
+                yield out()
+    if waiting:
+        yield out()
+
+
+def _row_batches(batches: Iterator[pa.RecordBatch], width: int, percent: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The first columns that other rows may hold too, for the first row of its set in a task.
+
+    A column of this row alone would use up a place in its lists, so ``listed`` falls by those left out here.
+    """
     seen: set[bytes] = set()
     for batch in batches:
         sizes, digests, listed, firsts = [], [], [], []
-        for text in batch.column("text"):
-            grams = shingle_set((text.as_py() or b"").decode("utf-8", "replace"), width)
-            digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
-            new = len(grams) > 0 and digest not in seen
-            seen.add(digest)
+        for grams, digest in _new_sets(batch, width, seen):
             n = len(grams)
-            sizes.append(n)
-            digests.append(digest)
-            listed.append(first_block(n, percent) - left_out(n, percent) if n else 0)
-            firsts.append(grams[:first_block(n, percent)].view(np.int64) if new else None)
+            first = grams[:first_block(n, percent)]
+            kept = first[passes(bits, first)]
+            if len(kept):
+                sizes.append(n)
+                digests.append(digest)
+                listed.append(len(first) - left_out(n, percent) - (len(first) - len(kept)))
+                firsts.append(kept.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(listed, pa.int64()),
-             pa.array(firsts, pa.list_(pa.int64()))], names=["id", "n", "digest", "listed", "first"])
+            [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(listed, pa.int64()),
+             pa.array(firsts, pa.list_(pa.int64()))], names=["n", "digest", "listed", "first"])
 
 
 def _node(digest: Column) -> Column:
@@ -80,14 +134,14 @@ def _node(digest: Column) -> Column:
     return F.conv(F.substring(F.hex(digest), 2, 15), 16, 10).cast("long")
 
 
-def _full_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Whole rows; another text under the same document id has another digest and goes."""
+def _full_batches(batches: Iterator[pa.RecordBatch], width: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Whole rows of the documents that the filter lets through; a row too many is in no list and meets nothing."""
     for batch in batches:
-        sets = [shingle_set((t.as_py() or b"").decode("utf-8", "replace"), width) for t in batch.column("text")]
-        own = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d.as_py() for s, d in zip(sets, batch.column("digest"))]
+        batch = batch.filter(pa.array(passes(bits, batch.column("bucket").to_numpy().view(np.uint64))))
+        made = [_grams(text, width) for text in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-            names=["node", "grams"]).filter(pa.array(own, pa.bool_()))
+            [pa.array([d for _, d in made], pa.binary()), pa.array([g.view(np.int64) for g, _ in made], pa.list_(pa.int64()))],
+            names=["digest", "grams"])
 
 
 def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,6 +214,18 @@ def block_links(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(multiply, "a long, b long")
 
 
+def _shared_columns(source: DataFrame, held: int, stages: Stages, percent: int, width: int) -> np.ndarray:
+    """Bit filter over the first columns (``held`` entries in all) that more than one row may hold.
+
+    Only four bytes and a count of an entry are shuffled for it. Most columns are of one row and are never sent as entries.
+    """
+    bucket_bits = max(10, (BUCKETS_AN_ENTRY * held).bit_length())
+    low = bucket_bits - (held // PART_ENTRIES).bit_length()
+    counts = source.mapInArrow(lambda it: _column_batches(it, width, percent, bucket_bits, low), "part long, buckets binary, counts binary")
+    found = counts.groupBy("part").applyInArrow(lambda part: full_buckets(part, 2, low, np.uint8), "bucket long")
+    return bucket_filter(stages.write(found))
+
+
 def _lists(inputs: DataFrame) -> DataFrame:
     """Rows (column, node, n, central) of the lists: the rarest of every row's first columns that other rows hold too."""
     entries = inputs.where("first IS NOT NULL").select("node", "n", "listed", F.size("first").alias("held"), F.explode("first").alias("column"))
@@ -167,10 +233,11 @@ def _lists(inputs: DataFrame) -> DataFrame:
     # several times; it shares nothing with itself, and its columns are listed once.
     same = W.partitionBy("column")
     met = entries.select("*", F.count("*").over(same).alias("df"), F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"))
-    shared = (met.where("low < high").groupBy("node", "n", "listed", "held")
+    # Shuffled as plain rows: sets of a task, made before, take more room.
+    shared = (met.where("low < high").select("node", "n", "listed", "held", "df", "column").repartition("node").groupBy("node", "n", "listed", "held")
               .agg(F.sort_array(F.collect_set(F.struct("df", "column"))).alias("shared")))
     room = F.greatest(F.col("listed") - (F.col("held") - F.size("shared")), F.lit(0)).cast("int")
-    return shared.select("node", "n", (F.size("shared") / F.col("held")).alias("central"),
+    return shared.select("node", "n", (F.size("shared") / F.col("n")).alias("central"),
                          F.explode(F.slice("shared", 1, room)["column"]).alias("column"))
 
 
@@ -229,23 +296,28 @@ def ngram_join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty table gives an empty table. N-grams are told apart by 64-bit hashes.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    made = source.mapInArrow(lambda it: _row_batches(it, width, percent), "id long, n long, digest binary, listed long, first array<long>")
-    made = made.select("*", _node(F.col("digest")).alias("node"))
-    with Stages(docs.sparkSession) as stages:
-        base = stages.write(made.select("id", "n", "digest", "node"))
+    sized = source.mapInArrow(lambda it: _size_batches(it, width, percent), "id long, n long, digest binary, held long")
+    spark = docs.sparkSession
+    with Stages(spark, BATCH_ROWS) as stages:
+        base = stages.write(sized.select("id", "n", "held", _node(F.col("digest")).alias("node")))
         named = base.where("n > 0 AND id IS NOT NULL")
-        lists = _lists(made.where("id IS NOT NULL"))
+        with_id = source.where("id IS NOT NULL")
+        shared = spark.sparkContext.broadcast(_shared_columns(with_id, named.agg(F.sum("held")).first()[0] or 0, stages, percent, width))
+        firsts = with_id.mapInArrow(lambda it: _row_batches(it, width, percent, shared.value), "n long, digest binary, listed long, first array<long>")
+        lists = _lists(firsts.select(_node(F.col("digest")).alias("node"), "n", "listed", "first"))
         several = lists.groupBy("column").agg(
             F.count("*").alias("rows"), F.max(F.struct("central", F.col("n").alias("size"), F.col("node").alias("leader"))).alias("l"))
         lists = stages.write(lists.join(several.where("rows > 1").select("column", "l.leader", "l.size"), "column"))
         near = f"100 * least(n, size) >= {percent} * greatest(n, size)"
         members = lists.where(f"node <> leader AND {near}").select(F.col("leader").alias("key"), "node", "n", "size").distinct()
 
-        firsts = named.groupBy("node", "digest").agg(F.min("id").alias("id"))
-        involved = firsts.join(lists.select("node").distinct(), "node", "left_semi")
-        texts = source.join(involved, "id").select("node", "digest", "text")
-        rows = stages.write(texts.mapInArrow(lambda it: _full_batches(it, width), "node long, grams array<long>")
-                            .groupBy("node").agg(F.first("grams").alias("grams")))
+        # Texts are not shuffled: a bit filter over the ids finds those whose whole rows are wanted.
+        wanted = named.groupBy("node").agg(F.min("id").alias("id")).join(lists.select("node").distinct(), "node", "left_semi")
+        ids = spark.sparkContext.broadcast(bucket_filter(stages.write(wanted.select(F.xxhash64("id").alias("bucket")))))
+        full = with_id.select(F.xxhash64("id").alias("bucket"), "text").mapInArrow(
+            lambda it: _full_batches(it, width, ids.value), "digest binary, grams array<long>")
+        full = full.select(_node(F.col("digest")).alias("node"), "grams")
+        rows = stages.write(full.repartition(stages.buckets, "node").groupBy("node").agg(F.first("grams").alias("grams")), "node")
         members = stages.write(members)
         leaders = members.select("key", F.col("key").alias("node"), F.col("size").alias("n")).distinct()
         links = stages.write(block_links(*_blocks(leaders, members.select("key", "node", "n"), rows), percent))
