@@ -1,6 +1,7 @@
 """Work by account: spread once, staged in buckets, in as many tasks as the input asks for."""
 
 import re
+from pathlib import Path
 
 import pytest
 from builders import random_ledger
@@ -81,3 +82,14 @@ def test_stages_are_written_with_the_stronger_compression(spark):
     for staged in (account_stage(spark, 3)(rows), file_stage(rows)):
         files = staged.inputFiles()
         assert files and all(f.endswith(".zstd.parquet") for f in files) and staged.count() == 50
+
+
+def test_staged_tables_go_after_their_last_reader(spark):
+    plan = FeaturePlan.staged(random_ledger(spark))
+    families = plan.staged_families()
+    shared, kept = (Path(t.folder.removeprefix("file:")) for t in (plan._shared_tables, plan._family_tables))
+    assert not shared.exists() and kept.exists()
+    assert all(f.count() for f in families)
+    assert plan.enriched.count() == plan.ledger.statements.count()  # made again
+    plan.drop_families()
+    assert not kept.exists()
