@@ -44,6 +44,14 @@ def test_best_iteration_takes_all_folds_and_the_whole_patience(designed, monkeyp
     assert seen == [(replace(entry.RUN_PARAMS, rounds=5000), 9, 50, 9)]
 
 
+def test_cross_validation_takes_all_folds_and_rounds(designed, monkeypatch):
+    seen = []
+    monkeypatch.setattr(scoring, "cross_validate", lambda trees, df, folds: seen.append(
+        (trees.getMaxIter(), trees.getMaxDepth(), folds, df.select("fold").distinct().count())) or [0.5])
+    assert entry.cv_metric(*designed).first().mean_auc == 0.5
+    assert seen == [(50, 5, 5, 5)]
+
+
 def test_fits_go_on_until_the_patience_is_used_up(designed, monkeypatch):
     train = designed[1].filter("default_flag IS NOT NULL")
     params = replace(PARAMS, subsample=0.7, rounds=12)
