@@ -244,6 +244,59 @@ def test_language_model_sums_to_one(spark):
     assert (p * total).sum(axis=1) == pytest.approx(1)
 
 
+def test_language_model_learns_words_after_words(spark):
+    """Words of one spelling, and so of one class: only the word before tells which of them comes."""
+    names = [f"{a}{b}tion" for a in "bcdfgklm" for b in "aeiouy"] * 2
+    names = [n + "x" * (i >= 48) for i, n in enumerate(names)]
+    follow = {w: names[(i * 7 + 3) % len(names)] for i, w in enumerate(names)}
+
+    def text(i):
+        rng = random.Random(i)
+        return " ".join(w for _ in range(40) for a in [rng.choice(names)] for w in (a, follow[a]))
+    source = docs(spark, [(i, text(i), "a") for i in range(60)]).selectExpr("text")
+    model, counts = lm_score.train(source)
+    table = {r["word"]: (r["spelling"], r["n"]) for r in counts.collect()}
+    hashes = np.array(list(table), np.int64).view(np.uint64)
+    spelling, n = (np.array([v[i] for v in table.values()]) for i in (0, 1))
+    own = model.classes.of(hashes, spelling)
+    tail = own >= lm_score.HEADS
+    assert tail.sum() > 20
+    # Over all words of a class and the unknown ones of its groups, any word before.
+    group = model.words.group(hashes[tail])
+    place = own[tail] - lm_score.HEADS
+    for before in (hashes[0], hashes[tail][3], lm_score.END, np.uint64(12345)):
+        bucket = model.words.bucket(np.array([before], np.uint64))[0]
+        logs = model.group_logs[(np.arange(lm_score.TAILS) * lm_score.BUCKETS + bucket)].astype(float)
+        total = np.bincount(place, 10 ** logs[place, group] * (n[tail] + lm_score.SMOOTHING) / 10 ** model.group_sizes[place, group],
+                            lm_score.TAILS)
+        unknown = (10 ** logs[:, lm_score.LEADERS:] * lm_score.SMOOTHING / 10 ** model.group_sizes[:, lm_score.LEADERS:]).sum(axis=1)
+        assert total + unknown == pytest.approx(1, abs=1e-4)
+    # The pairs that were learned stand out from the shares of the class.
+    pairs = [(a, b) for a, b in follow.items() if b in names and lm_score.tokens(b)[0][0] in hashes[tail]]
+    gains = []
+    for a, b in pairs:
+        (h,), (s,) = (x[:1] for x in lm_score.tokens(b))
+        c = int(model.classes.of(np.array([h]), np.array([s]))[0])
+        row = (c - lm_score.HEADS) * lm_score.BUCKETS + model.words.bucket(lm_score.tokens(a)[0][:1])[0]
+        g = model.words.group(np.array([h]))[0]
+        share = 10 ** model.group_sizes[c - lm_score.HEADS]
+        gains.append(model.group_logs[row, g] - np.log10(share[g] / share.sum()))
+    assert len(gains) > 20 and np.mean(gains) > 0.1 and min(gains) > -0.01
+
+
+def test_group_steps_reach_the_maximum():
+    rng = np.random.default_rng(1)
+    seen = rng.poisson(rng.choice([0.1, 3, 200], (50, lm_score.GROUPS))).astype(float)
+    seen[0] = 0
+    logits = np.log(rng.dirichlet(np.ones(lm_score.GROUPS), 50))
+
+    def value(found):
+        return (seen * (found - np.log(np.exp(found).sum(axis=1, keepdims=True)))).sum(axis=1) - 0.5 * ((found - logits) ** 2).sum(axis=1)
+    found = [value(lm_score.group_steps(seen, logits, k)) for k in (0, lm_score.STEPS, 400)]
+    assert (found[1] >= found[0] - 1e-9).all() and (found[2] - found[1] < 0.02 * (found[2] - found[0]) + 1e-6).all()
+    assert np.allclose(lm_score.group_steps(seen, logits)[0], logits[0])
+
+
 def plain_contaminated(rows, items):
     out = set()
     for i, t, _ in rows:
