@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from ledgerfeat.plans import bins, scoring
 from ledgerfeat.session import pin
 from ledgerfeat.sources import sinks
@@ -68,3 +69,15 @@ def test_binned_model_is_saved(many_levels, tmp_path):
     fitted = scoring.train_gbt_categorical(USED, ["kind"], 101, PARAMS).fit(many_levels)
     sinks.save_model(fitted, f"{tmp_path}/model")
     assert rows_of(scoring.score(sinks.load_model(f"{tmp_path}/model"), many_levels)) == rows_of(scoring.score(fitted, many_levels))
+
+
+def test_column_known_for_unlabelled_accounts_only(spark):
+    df = spark.range(0, 120, 1, 3).selectExpr(
+        "id AS account_id", "CASE WHEN id % 6 <> 5 THEN CAST(id % 10 >= 6 AS INT) END AS default_flag", "CAST(id % 10 AS DOUBLE) AS signal",
+        "CASE WHEN id % 12 = 5 THEN 1.5D END AS late", "CASE WHEN id % 6 = 5 OR id % 7 > 0 THEN 2.0D END AS holes",
+        "CASE WHEN id % 6 <> 5 THEN CAST(id AS DOUBLE) END AS early", "CONCAT('c', id % 40) AS kind")
+    df = pin(df)
+    used = scoring.known_columns(df, ["signal", "late", "holes", "early"])
+    assert used == {"signal": False, "late": True, "holes": True, "early": True}
+    scored = entry.gbt_categorical_scores(df, df, used)
+    assert scored.count() == 20 == scored.filter("default_score BETWEEN 0 AND 1").count()
